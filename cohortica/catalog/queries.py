@@ -143,6 +143,9 @@ def group_categories(spark, d):
         "hadm_id", "race_grouped", "admit_type_grouped", "admit_loc_grouped")
 
 
+SOURCE_RULES = [("teens", [("startswith", "src1")]), ("odd", [("equals", "src3"), ("contains", "7")])]
+
+
 @query
 def group_texts(spark, d):
     """The three rule sets over free text, where every kind of test gets hits and misses."""
@@ -151,7 +154,7 @@ def group_texts(spark, d):
         "doc_id", group_race(F.col("text")).alias("race_grouped"),
         group_admission_type(text).alias("admit_type_grouped"),
         group_admission_location(text).alias("admit_loc_grouped"),
-        first_match(F.col("source"), [("web", [("startswith", "w"), ("contains", "crawl")])], "rest").alias("source_grouped"))
+        first_match(F.col("source"), SOURCE_RULES, "rest").alias("source_grouped"))
 
 
 @query
@@ -264,9 +267,8 @@ def domain_violations(spark, d):
 
 @query
 def unexpected_values(spark, d):
-    allowed = read(spark, d, "part").where("p_size > 10").select("p_brand").where(
-        F.col("p_brand").isin([f"Brand#{i}" for i in range(1, 20)]))
-    return quality.unexpected_values(read(spark, d, "part"), "p_brand", allowed)
+    part = read(spark, d, "part")
+    return quality.unexpected_values(part, "p_brand", part.where("p_retailprice < 900.5"))
 
 
 @query
@@ -464,12 +466,12 @@ def _runs(spark, d):
 
 @query
 def finished_runs(spark, d):
-    return _rounded(runs.run_metrics(runs.finished_runs(_runs(spark, d)), ["f1_score", "recall"]), 6)
+    return runs.run_metrics(runs.finished_runs(_runs(spark, d)), ["f1_score", "recall"])
 
 
 @query
 def top_runs(spark, d):
-    return _rounded(runs.run_metrics(runs.top_runs(_runs(spark, d)), ["f1_score", "recall"]), 6)
+    return runs.run_metrics(runs.top_runs(_runs(spark, d)), ["f1_score", "recall"])
 
 
 @query
@@ -523,4 +525,5 @@ def random_search(spark, d):
     space = {"n_estimators": [2, 3], "max_depth": [2, 3], "learning_rate": [0.1, 0.3], "class_weight": [None, "balanced"]}
     log = train.random_search(_model_frame(spark, d), "o_orderkey", space=space, n_iter=2, folds=2, label="label",
                               parallelism=4)[2]
-    return runs.run_metrics(log)
+    tried = log.withColumn("run_id", F.try_element_at("tags", F.lit("search_iteration")))
+    return runs.run_metrics(tried).withColumnRenamed("run_id", "iteration")

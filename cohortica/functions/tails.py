@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 
+# Send these functions to the workers themselves, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def kolmogorov_tail(distance: Column, n_a: Column, n_b: Column, terms: int = 100) -> Column:
     """Asymptotic two-sample Kolmogorov-Smirnov p-value, as an alternating series."""
@@ -39,20 +44,18 @@ def _chi_square_tail(statistic: float, degrees: float) -> float:
     return min(1.0, total)
 
 
-@F.pandas_udf("double")
-def _chi_square_udf(statistic: pd.Series, degrees: pd.Series) -> pd.Series:
+def _chi_square_batch(statistic: pd.Series, degrees: pd.Series) -> pd.Series:
     return pd.Series([_chi_square_tail(s, d) for s, d in zip(statistic, degrees)], dtype="float64")
 
 
-@F.pandas_udf("double")
-def _normal_udf(z: pd.Series) -> pd.Series:
+def _normal_batch(z: pd.Series) -> pd.Series:
     return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2.0)), na_action="ignore")
 
 
 def chi_square_tail(statistic: Column, degrees: Column) -> Column:
-    p = _chi_square_udf(statistic.cast("double"), degrees.cast("double"))
+    p = F.pandas_udf(_chi_square_batch, "double")(statistic.cast("double"), degrees.cast("double"))
     return F.when(~F.isnan(p), p)
 
 
 def normal_two_sided_tail(z: Column) -> Column:
-    return _normal_udf(z.cast("double"))
+    return F.pandas_udf(_normal_batch, "double")(z.cast("double"))

@@ -21,15 +21,20 @@ No pair of rows is ever written out beyond those k candidates.
 
 from __future__ import annotations
 
+import sys
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortica.operators.running import materialize
 from cohortica.operators.skew import salted_join
 
+# Send these functions to the workers themselves, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BOX_POINTS = 4000
 BOX_SAMPLE = 64
 MAX_SAMPLE = 1_000_000
@@ -39,40 +44,48 @@ _DIGITS = 9
 _SLACK = 1e-7
 
 
-class _Boxes:
-    """Median splits of a point sample; every box keeps its sample points."""
-
-    def __init__(self, points: np.ndarray, dims: list[int], k: int, capacity: int):
-        self.dims, self.k, self.points = dims, k, points
-        self.nodes: list[tuple] = []  # (dim, cut, left, right) or (None, member indices, box id)
-        self.count = 0
-        self._grow(np.arange(len(points)), capacity)
-
-    def _grow(self, members, capacity):
-        at = len(self.nodes)
-        self.nodes.append(None)
-        if len(members) >= 2 * max(self.k, capacity // 2):
-            spans = [np.ptp(self.points[members, d]) for d in self.dims]
-            for d in sorted(self.dims, key=lambda d: -spans[self.dims.index(d)]):
-                values = self.points[members, d]
+def _split_points(points: np.ndarray, dims: list[int], k: int, capacity: int) -> list[tuple]:
+    """Median splits of a point sample as a list of nodes.
+
+    A node is (dim, cut, left, right), or (None, sample rows, box number, None) for a box. Every
+    box keeps at least k sample points, unless the whole sample has fewer.
+    """
+    nodes: list[tuple] = []
+    boxes = 0
+
+    def grow(members):
+        nonlocal boxes
+        at = len(nodes)
+        nodes.append(None)
+        if len(members) >= max(2 * k, capacity):
+            for d in sorted(dims, key=lambda d: -np.ptp(points[members, d])):
+                values = points[members, d]
                 cut = np.median(values)
-                if cut == values.max():
-                    cut = values[values < cut].max() if (values < cut).any() else cut
+                if cut == values.max() and cut > values.min():
+                    cut = values[values < cut].max()
                 left = values <= cut
-                if min(left.sum(), (~left).sum()) >= self.k:
-                    node_left = self._grow(members[left], capacity)
-                    node_right = self._grow(members[~left], capacity)
-                    self.nodes[at] = (d, float(cut), node_left, node_right)
+                if min(left.sum(), (~left).sum()) >= k:
+                    nodes[at] = (d, float(cut), grow(members[left]), grow(members[~left]))
                     return at
-        self.nodes[at] = (None, members, self.count)
-        self.count += 1
+        nodes[at] = (None, members, boxes, None)
+        boxes += 1
         return at
 
+    grow(np.arange(len(points)))
+    return nodes
+
+
+class _Boxes:
+    """Finds boxes, and bounds on neighbour distances, for batches of points."""
+
+    def __init__(self, points: np.ndarray, nodes: list[tuple], k: int):
+        self.points, self.nodes, self.k = points, nodes, k
+
     def _walk(self, rows, points, radius, node, found):
         """Send each row to every box its ball touches (radius None: its own box only)."""
         if not len(rows):
             return
-        d, cut, left, right = self.nodes[node] if self.nodes[node][0] is not None else (None, None, 0, 0)
+        d, cut, left, right = self.nodes[node]
         if d is None:
             found.append((rows, node))
             return
@@ -147,76 +160,84 @@ def _members(mask: int, width: int) -> list[int]:
     return [i for i in range(width) if mask >> i & 1]
 
 
-def _target_values(receivers: DataFrame, donors: DataFrame, width: int, target: int, k: int,
-                   box_points: int, chunk_receivers: int) -> DataFrame | None:
-    """(mask, z..., value) for the distinct receiver points that lack the target."""
+def _spaces(wanted: list[int], offered: list[int], targets: list[int]) -> list[tuple]:
+    """Every (target, receiver mask, shared mask) with donors; at most targets * 4^width of them."""
+    return sorted({(t, r, r & d) for t in targets for r in wanted for d in offered
+                   if not r >> t & 1 and d >> t & 1 and r & d})
+
+
+def _donor_points(pool: DataFrame, spaces: list[tuple], zs: list[str], k: int) -> DataFrame:
+    """Distinct donor points per space, each with its first k donors by tie-break."""
+    kinds = F.array(*[F.struct(F.lit(i).alias("space"), F.lit(t).alias("t"), F.lit(1 << t).alias("bit"),
+                               F.lit(r).alias("want"), F.lit(s).alias("share"))
+                      for i, (t, r, s) in enumerate(spaces)])
+    fits = F.filter(kinds, lambda x: (F.col("mask").bitwiseAND(x["bit"]) != 0)
+                    & (F.col("mask").bitwiseAND(x["want"]) == x["share"]))
+    value = F.element_at(F.array(*[f"x{i}" for i in range(len(zs))]), F.col("in.t") + 1)
+    points = pool.withColumn("in", F.explode(fits)).select(
+        F.col("in.space").alias("space"),
+        *[F.when(F.col("in.share").bitwiseAND(1 << i) != 0, F.col(z)).otherwise(0.0).alias(z) for i, z in enumerate(zs)],
+        (F.col("tie") if "tie" in pool.columns else value).alias("tie"), value.alias("y"))
+    first = Window.partitionBy("space", *zs).orderBy("tie", "y")
+    return points.withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= k).drop("rn")
+
+
+def _nearest_values(receivers: DataFrame, pool: DataFrame, width: int, targets: list[int], k: int,
+                    box_points: int, chunk_receivers: int) -> DataFrame | None:
+    """(t, mask, z..., value): the imputed value of target t for each distinct receiver point."""
     spark = receivers.sparkSession
     zs = [f"z{i}" for i in range(width)]
-    bit = 1 << target
-    receivers = receivers.where(F.col("mask").bitwiseAND(bit) == 0)
-    donors = donors.where(F.col("mask").bitwiseAND(bit) != 0)
     # At most 2^width masks on either side.
-    wanted = sorted(r["mask"] for r in receivers.select("mask").distinct().collect())
-    offered = sorted(r["mask"] for r in donors.select("mask").distinct().collect())
-    shared = {r: sorted({r & d for d in offered} - {0}) for r in wanted}
-    spaces = sorted({(r, s) for r, many in shared.items() for s in many})
+    masks = receivers.select("mask", F.lit(True).alias("asks")).unionByName(
+        pool.select("mask", F.lit(False).alias("asks"))).distinct().collect()
+    spaces = _spaces([m["mask"] for m in masks if m["asks"]], [m["mask"] for m in masks if not m["asks"]], targets)
     if not spaces:
         return None
-
-    # Donor points per space: project on the shared dimensions, keep the first k per point.
-    code = lambda r, s: (r << width) | s
-    pairs = F.explode(F.array(*[F.lit(r) for r in wanted]))
-    points = donors.withColumn("want", pairs)
-    points = points.withColumn("share", F.col("mask").bitwiseAND(F.col("want"))).where("share != 0")
-    points = points.select(
-        (F.shiftleft("want", width) + F.col("share")).alias("space"),
-        *[F.when(F.col("share").bitwiseAND(1 << i) != 0, F.col(z)).otherwise(0.0).alias(z) for i, z in enumerate(zs)],
-        "tie", F.col(f"x{target}").alias("y"))
-    first = Window.partitionBy("space", *zs).orderBy("tie", "y")
-    points = points.withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= k).drop("rn")
-    points = materialize(points)
+    points = materialize(_donor_points(pool, spaces, zs, k))
 
     # Boxes from a bounded sample; its size follows the number of donor points.
     sizes = {r["space"]: r["count"] for r in points.groupBy("space").count().collect()}
-    spare = {s: min(MAX_SAMPLE, max(4 * BOX_SAMPLE, BOX_SAMPLE * n // box_points)) for s, n in sizes.items()}
-    shares = {s: min(1.0, spare[s] / n) for s, n in sizes.items()}
+    shares = {i: min(1.0, min(MAX_SAMPLE, max(4 * BOX_SAMPLE, BOX_SAMPLE * n // box_points)) / n)
+              for i, n in sizes.items()}
     sample = points.sampleBy("space", shares, seed=11).select("space", *zs).toPandas().drop_duplicates()
     trees = {}
-    for r, s in spaces:
-        if code(r, s) in sizes:
-            got = sample.loc[sample["space"] == code(r, s), zs].to_numpy(dtype=float)
-            capacity = BOX_SAMPLE if sizes[code(r, s)] > box_points else max(len(got), 1) * 2 + 2 * k
-            trees[code(r, s)] = _Boxes(got, _members(s, width), k, capacity)
+    for i, (_, _, share) in enumerate(spaces):
+        got = sample.loc[sample["space"] == i, zs].to_numpy(dtype=float)
+        capacity = BOX_SAMPLE if sizes[i] > box_points else 2 * len(got) + 2 * k
+        trees[i] = (got, _split_points(got, _members(share, width), k, capacity), k)
     shared_trees = spark.sparkContext.broadcast(trees)
 
+    def project(space, z):
+        """Coordinates on the shared dimensions, and the factor for the missing ones."""
+        share = spaces[space][2]
+        inside = np.zeros(width)
+        inside[_members(share, width)] = 1.0
+        return z * inside, float(np.sqrt(width / bin(share).count("1")))
+
     def place_donors(batches):
         for batch in batches:
             for space, rows in batch.groupby("space"):
-                box = shared_trees.value[space].own_boxes(rows[zs].to_numpy(dtype=float))
-                yield rows.assign(box=box)
+                yield rows.assign(box=_Boxes(*shared_trees.value[space]).own_boxes(rows[zs].to_numpy(dtype=float)))
 
     def place_receivers(batches):
-        trees = shared_trees.value
         for batch in batches:
             for mask, rows in batch.groupby("mask"):
                 z = rows[zs].to_numpy(dtype=float)
-                sets = {}
-                for s in shared[mask]:
-                    if code(mask, s) in trees:
-                        inside = np.zeros(width)
-                        inside[_members(s, width)] = 1.0
-                        sets[s] = (trees[code(mask, s)], z * inside, np.sqrt(width / bin(s).count("1")))
-                bound = np.full(len(rows), np.inf)
-                for tree, at, factor in sets.values():
-                    bound = np.minimum(bound, tree.bounds(at) * factor)
-                for s, (tree, at, factor) in sets.items():
-                    row, box = tree.touched(at, bound / factor + _SLACK)
-                    yield rows.iloc[row].assign(space=code(mask, s), box=box, radius=bound[row])
+                for target in targets:
+                    mine = [i for i, (t, r, _) in enumerate(spaces) if t == target and r == mask]
+                    bound = np.full(len(rows), np.inf)
+                    for i in mine:
+                        at, factor = project(i, z)
+                        bound = np.minimum(bound, _Boxes(*shared_trees.value[i]).bounds(at) * factor)
+                    for i in mine:
+                        at, factor = project(i, z)
+                        row, box = _Boxes(*shared_trees.value[i]).touched(at, bound / factor + _SLACK)
+                        yield rows.iloc[row].assign(t=target, space=i, box=box, radius=bound[row])
 
     z_ddl = ", ".join(f"{z} double" for z in zs)
     placed = points.mapInPandas(place_donors, f"space int, {z_ddl}, tie double, y double, box int")
     asked = materialize(receivers.select("mask", *zs).mapInPandas(
-        place_receivers, f"mask int, {z_ddl}, space int, box int, radius double"))
+        place_receivers, f"mask int, {z_ddl}, t int, space int, box int, radius double"))
 
     # Crowded boxes are met in several chunks of receivers. At most one row per box.
     crowded = (asked.groupBy("space", "box").count().where(F.col("count") > chunk_receivers)
@@ -230,29 +251,24 @@ def _target_values(receivers: DataFrame, donors: DataFrame, width: int, target:
     else:
         asked, placed = asked.withColumn("chunk", F.lit(0)), placed.withColumn("chunk", F.lit(0))
 
-    low = (1 << width) - 1
-
     def meet(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame(columns=["mask", *zs, "gap", "tie", "y"])
-        share = int(key[0]) & low
-        inside = np.zeros(width)
-        inside[_members(share, width)] = 1.0
-        r, d, gap = _nearest(left[zs].to_numpy(dtype=float) * inside, left["radius"].to_numpy(),
-                             right[zs].to_numpy(dtype=float), right["tie"].to_numpy(),
-                             float(np.sqrt(width / bin(share).count("1"))), k)
-        out = left.iloc[r][["mask", *zs]].reset_index(drop=True)
+            return pd.DataFrame(columns=["t", "mask", *zs, "gap", "tie", "y"])
+        at, factor = project(int(key[0]), left[zs].to_numpy(dtype=float))
+        r, d, gap = _nearest(at, left["radius"].to_numpy(), right[zs].to_numpy(dtype=float),
+                             right["tie"].to_numpy(), factor, k)
+        out = left.iloc[r][["t", "mask", *zs]].reset_index(drop=True)
         return out.assign(gap=gap, tie=right["tie"].to_numpy()[d], y=right["y"].to_numpy()[d])
 
-    box_key = ["space", "box", "chunk"]
-    near = asked.groupBy(*box_key).cogroup(placed.groupBy(*box_key)).applyInPandas(
-        meet, f"mask int, {z_ddl}, gap double, tie double, y double")
-    nearest = Window.partitionBy("mask", *zs).orderBy("gap", "tie", "y")
+    met = ["space", "box", "chunk"]
+    near = asked.groupBy(*met).cogroup(placed.groupBy(*met)).applyInPandas(
+        meet, f"t int, mask int, {z_ddl}, gap double, tie double, y double")
+    nearest = Window.partitionBy("t", "mask", *zs).orderBy("gap", "tie", "y")
     near = near.withColumn("rn", F.row_number().over(nearest)).where(F.col("rn") <= k)
-    exact, away = F.col("gap") == 0, F.when(F.col("gap") > 0, F.lit(1.0) / F.col("gap"))
-    return near.groupBy("mask", *zs).agg(
+    exact, weight = F.col("gap") == 0, F.when(F.col("gap") > 0, F.lit(1.0) / F.col("gap"))
+    return near.groupBy("t", "mask", *zs).agg(
         F.coalesce(F.avg(F.when(exact, F.col("y"))),
-                   F.sum(F.col("y") * away) / F.sum(away)).alias("value"))
+                   F.sum(F.col("y") * weight) / F.sum(weight)).alias("value"))
 
 
 def points_of(df: DataFrame, features: list[str], stats: dict) -> DataFrame:
@@ -280,19 +296,13 @@ def knn_impute(df: DataFrame, donors: DataFrame, features: list[str], targets: l
     gaps = points_of(df.where(lacking), features, stats)
     points = materialize(gaps.select("mask", *zs).distinct())
 
-    answers = None
-    for target in targets:
-        i = features.index(target)
-        donors_here = pool if tie_break else pool.withColumn("tie", F.col(f"x{i}"))
-        found = _target_values(points, donors_here, width, i, k, box_points, chunk_receivers)
-        if found is not None:
-            found = found.withColumn("target", F.lit(target))
-            answers = found if answers is None else answers.unionByName(found)
+    places = {t: features.index(t) for t in targets}
+    answers = _nearest_values(points, pool, width, list(places.values()), k, box_points, chunk_receivers)
     if answers is None:
         filled = gaps.withColumns({f"_new_{t}": F.lit(None).cast("double") for t in targets})
     else:
         wide = answers.groupBy("mask", *zs).agg(
-            *[F.max(F.when(F.col("target") == t, F.col("value"))).alias(f"_new_{t}") for t in targets])
+            *[F.max(F.when(F.col("t") == i, F.col("value"))).alias(f"_new_{t}") for t, i in places.items()])
         filled = salted_join(gaps, wide, ["mask", *zs], "left")
     filled = filled.select(*[
         F.coalesce(F.col(c).cast("double"), F.col(f"_new_{c}"), F.lit(stats[c][0])).alias(c) if c in targets
