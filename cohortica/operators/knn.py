@@ -243,11 +243,11 @@ def _nearest_values(receivers: DataFrame, pool: DataFrame, width: int, targets:
     crowded = (asked.groupBy("space", "box").count().where(F.col("count") > chunk_receivers)
                .select("space", "box", F.ceil(F.col("count") / chunk_receivers).cast("int").alias("chunks")).collect())
     if crowded:
-        chunks = F.broadcast(spark.createDataFrame(crowded, "space int, box int, chunks int"))
-        asked = asked.join(chunks, ["space", "box"], "left").withColumn(
-            "chunk", F.coalesce(F.pmod(F.xxhash64("mask", *zs), F.col("chunks")).cast("int"), F.lit(0)))
-        placed = placed.join(chunks, ["space", "box"], "left").withColumn(
-            "chunk", F.explode(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1)))
+        def with_chunks(df):
+            chunks = spark.createDataFrame(crowded, "space int, box int, chunks int")
+            return df.join(F.broadcast(chunks), ["space", "box"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+        asked = with_chunks(asked).withColumn("chunk", F.pmod(F.xxhash64("mask", *zs), F.col("chunks")).cast("int"))
+        placed = with_chunks(placed).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     else:
         asked, placed = asked.withColumn("chunk", F.lit(0)), placed.withColumn("chunk", F.lit(0))
 

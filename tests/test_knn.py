@@ -1,0 +1,108 @@
+import math
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from cohortica.operators.knn import _Boxes, _split_points, distances, knn_impute
+from cohortica.operators.scale import fit_scaler
+
+FEATURES = ["a", "b", "c"]
+
+
+def brute(df, targets, stats, k, key):
+    """Every receiver against every donor, row by row."""
+    z = {c: (df[c] - stats[c][0]) / stats[c][1] for c in FEATURES}
+    out = df.copy()
+    for t in targets:
+        for i in df.index[df[t].isna()]:
+            near = []
+            for j in df.index[df[t].notna()]:
+                both = [c for c in FEATURES if not math.isnan(z[c][i]) and not math.isnan(z[c][j])]
+                if both:
+                    total = sum((z[c][i] - z[c][j]) ** 2 for c in both)
+                    near.append((round(math.sqrt(total) * math.sqrt(len(FEATURES) / len(both)), 9), df[key][j], df[t][j]))
+            near = sorted(near)[:k]
+            if not near:
+                out.loc[i, t] = stats[t][0]
+            elif near[0][0] == 0:
+                out.loc[i, t] = np.mean([y for g, _, y in near if g == 0])
+            else:
+                out.loc[i, t] = sum(y / g for g, _, y in near) / sum(1 / g for g, _, y in near)
+    return out
+
+
+def frame(n, seed, whole=False):
+    rng = np.random.default_rng(seed)
+    df = pd.DataFrame({"id": np.arange(n), "a": rng.normal(size=n), "b": rng.gamma(2.0, size=n), "c": rng.normal(size=n)})
+    if whole:  # few distinct values: many equal distances and zero distances
+        df[FEATURES] = df[FEATURES].round(0)
+    df.loc[rng.random(n) < 0.25, "b"] = np.nan
+    df.loc[rng.random(n) < 0.25, "c"] = np.nan
+    df.loc[rng.random(n) < 0.1, "a"] = np.nan
+    return df
+
+
+def run(spark, df, targets, **kw):
+    s = spark.createDataFrame(df.astype(object).where(df.notna(), None), "id long, a double, b double, c double")
+    stats = fit_scaler(s, FEATURES)
+    got = knn_impute(s, s, FEATURES, targets, stats, 5, "id", **kw).toPandas().sort_values("id").reset_index(drop=True)
+    return got, brute(df, targets, stats, 5, "id")
+
+
+@pytest.mark.parametrize("whole,boxes,chunk", [(False, 20, 7), (True, 20, 7), (False, 4000, 50_000)])
+def test_equals_brute_force(spark, whole, boxes, chunk):
+    got, want = run(spark, frame(300, 3, whole), ["b", "c"], box_points=boxes, chunk_receivers=chunk)
+    for c in ["b", "c"]:
+        np.testing.assert_allclose(got[c].to_numpy(float), want[c].to_numpy(float), rtol=1e-9)
+    assert got["a"].isna().sum() == want["a"].isna().sum()
+    assert list(got["id"]) == list(want["id"])
+
+
+def test_hot_point_and_outlier(spark):
+    """A third of the rows share one point, others crowd near zero, one lies far away."""
+    rng = np.random.default_rng(5)
+    df = pd.DataFrame({"id": np.arange(300), "a": rng.normal(scale=0.01, size=300), "b": rng.normal(scale=0.01, size=300),
+                       "c": rng.normal(size=300)})
+    df.loc[:99, ["a", "b", "c"]] = [1.0, 2.0, 3.0]
+    df.loc[0, "a"] = 1e6
+    df.loc[50:150, "c"] = np.nan
+    got, want = run(spark, df, ["c"], box_points=10, chunk_receivers=5)
+    np.testing.assert_allclose(got["c"].to_numpy(float), want["c"].to_numpy(float), rtol=1e-9)
+
+
+def test_fewer_donors_than_k_and_no_donor(spark):
+    df = pd.DataFrame({"id": [1, 2, 3, 4], "a": [1.0, 2.0, 3.0, np.nan], "b": [10.0, np.nan, 30.0, np.nan],
+                       "c": [np.nan, np.nan, np.nan, 5.0]})
+    got, want = run(spark, df, ["b"])
+    np.testing.assert_allclose(got["b"].to_numpy(float), want["b"].to_numpy(float))
+    assert got["b"][3] == pytest.approx(20.0)  # nothing shared with a donor: the mean
+
+
+def test_nothing_missing_is_untouched(spark):
+    df = pd.DataFrame({"id": [1, 2], "a": [1.0, 2.0], "b": [3.0, 4.0], "c": [5.0, 6.5]})
+    got, _ = run(spark, df, ["b", "c"])
+    pd.testing.assert_frame_equal(got, df)
+
+
+def test_default_tie_break_is_the_value(spark):
+    s = spark.createDataFrame([(1, 0.0, 5.0), (2, 0.0, 1.0), (3, 0.0, None), (4, 1.0, 9.0)], "id long, a double, b double")
+    stats = fit_scaler(s, ["a", "b"])
+    got = {r["id"]: r["b"] for r in knn_impute(s, s, ["a", "b"], ["b"], stats, 1).collect()}
+    assert got[3] == 1.0
+
+
+def test_boxes_partition_the_points():
+    points = np.random.default_rng(1).normal(size=(500, 3)).round(1)
+    points = np.unique(points, axis=0)
+    boxes = _Boxes(points, _split_points(points, [0, 1, 2], 5, 16), 5)
+    own = boxes.own_boxes(points)
+    assert np.bincount(own).min() >= 5 and own.max() > 10
+    queries = np.random.default_rng(2).normal(size=(50, 3))
+    bound = boxes.bounds(queries)
+    gap = distances(queries, points)
+    assert (np.sort(gap, axis=1)[:, 4] <= bound + 1e-12).all()
+    rows, reached = boxes.touched(queries, bound)
+    met = set(zip(rows.tolist(), reached.tolist()))
+    for i in range(50):  # every point within the bound lies in a box that was reached
+        assert all((i, int(b)) in met for b in own[gap[i] <= bound[i]])
