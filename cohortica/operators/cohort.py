@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortica import fixed
 from cohortica.functions import clean_number, ilike_any
-from cohortica.operators.skew import lookup_join, salted_join, salted_star
+from cohortica.operators.skew import lookup_join, salted_star
 
 
 def filter_labels(dictionary: DataFrame, label: str, patterns: list[str],
@@ -22,10 +22,11 @@ def events_in_window(events: DataFrame, anchors: DataFrame, key: str, event_time
                      anchor_time: str, hours: int, **probe_args) -> DataFrame:
     """Events from the anchor time to `hours` later, both ends included, per key.
 
-    One equi-join with the time range as its residual. Keys with very many events are salted.
+    One equi-join with the time range as its residual. A small anchor table is broadcast, so
+    events do not move; otherwise keys with very many events are salted.
     """
     window = F.make_interval(hours=F.lit(hours))
-    joined = salted_join(events, anchors.select(key, anchor_time), key, "inner", **probe_args)
+    joined = lookup_join(events, anchors.select(key, anchor_time), key, "inner", **probe_args)
     return joined.where(F.col(event_time).between(F.col(anchor_time), F.col(anchor_time) + window))
 
 

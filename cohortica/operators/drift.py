@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from cohortica import fixed
 from cohortica.functions import chi_square_tail, kolmogorov_tail, normal_two_sided_tail
 from cohortica.operators.clean import nulls_for_nans
-from cohortica.operators.running import materialize, running_totals
+from cohortica.operators.running import materialize, range_parts, running_totals
 
 _FEATURE = ["feature"]
 
@@ -52,20 +52,25 @@ def _cdf_gap():
 
 
 def ranked_counts(counts: DataFrame) -> DataFrame:
-    """Counts with earlier totals per feature and the following value; checkpointed inside."""
-    return _with_totals(running_totals(counts, "value", ["a", "b"], group=_FEATURE, following="next_value"))
+    """Counts with earlier and total counts per feature, the following value and the deviation.
+
+    The population deviation of the reference is taken in two passes over the checkpointed
+    counts, around the mean.
+    """
+    ranged = range_parts(counts, "value", _FEATURE)
+    centre = ranged.groupBy("feature").agg((F.sum(F.col("a") * F.col("value")) / F.sum("a")).alias("centre"))
+    off = F.col("value") - F.col("centre")
+    deviation = (ranged.join(F.broadcast(centre), "feature").groupBy("feature")
+                 .agg(F.sqrt(F.sum(F.col("a") * off * off) / F.sum("a")).alias("deviation")))
+    ranked = running_totals(ranged, "value", ["a", "b"], group=_FEATURE, following="next_value")
+    return ranked.join(F.broadcast(deviation), "feature")
 
 
 def wasserstein(ranked: DataFrame, normed: bool = True) -> DataFrame:
     """(feature, distance): area between the two distribution functions, over the reference deviation."""
-    area = F.sum(_cdf_gap() * (F.col("next_value") - F.col("value")))
-    if not normed:
-        return ranked.groupBy("feature").agg(F.coalesce(area, F.lit(0.0)).alias("distance"))
-    centre = ranked.groupBy("feature").agg((F.sum(F.col("a") * F.col("value")) / F.sum("a")).alias("centre"))
-    off = F.col("value") - F.col("centre")
-    deviation = F.sqrt(F.sum(F.col("a") * off * off) / F.max("total_a"))
-    return (ranked.join(F.broadcast(centre), "feature").groupBy("feature")
-            .agg((F.coalesce(area, F.lit(0.0)) / F.greatest(deviation, F.lit(fixed.DRIFT_MIN_SCALE))).alias("distance")))
+    area = F.coalesce(F.sum(_cdf_gap() * (F.col("next_value") - F.col("value"))), F.lit(0.0))
+    unit = F.greatest(F.max("deviation"), F.lit(fixed.DRIFT_MIN_SCALE)) if normed else F.lit(1.0)
+    return ranked.groupBy("feature").agg((area / unit).alias("distance"))
 
 
 def kolmogorov_smirnov(ranked: DataFrame) -> DataFrame:

@@ -76,54 +76,70 @@ def _split_points(points: np.ndarray, dims: list[int], k: int, capacity: int) ->
 
 
 class _Boxes:
-    """Finds boxes, and bounds on neighbour distances, for batches of points."""
-
-    def __init__(self, points: np.ndarray, nodes: list[tuple], k: int):
-        self.points, self.nodes, self.k = points, nodes, k
-
-    def _walk(self, rows, points, radius, node, found):
-        """Send each row to every box its ball touches (radius None: its own box only)."""
-        if not len(rows):
-            return
-        d, cut, left, right = self.nodes[node]
-        if d is None:
-            found.append((rows, node))
-            return
-        gap = points[rows, d] - cut
-        reach = 0.0 if radius is None else radius[rows]
-        go_left = gap <= reach
-        go_right = gap > 0 if radius is None else gap >= -reach
-        self._walk(rows[go_left], points, radius, left, found)
-        self._walk(rows[go_right], points, radius, right, found)
+    """Finds boxes, and bounds on neighbour distances, for batches of points.
+
+    `low` and `high` are the extent of all donors of the space.
+    """
+
+    def __init__(self, points: np.ndarray, nodes: list[tuple], low: np.ndarray, high: np.ndarray, k: int):
+        self.points, self.nodes, self.low, self.high, self.k = points, nodes, low, high, k
+
+    def _homes(self, points):
+        """(rows, sample rows, box number) for each box that holds some of the points."""
+        todo, found = [(np.arange(len(points)), 0)], []
+        while todo:
+            rows, at = todo.pop()
+            d, cut, left, right = self.nodes[at]
+            if d is None:
+                found.append((rows, cut, left))
+            elif len(rows):
+                under = points[rows, d] <= cut
+                todo += [(rows[under], left), (rows[~under], right)]
+        return [f for f in found if len(f[0])]
 
     def own_boxes(self, points):
-        found = []
-        self._walk(np.arange(len(points)), points, None, 0, found)
         box = np.zeros(len(points), dtype=np.int32)
-        for rows, node in found:
-            box[rows] = self.nodes[node][2]
+        for rows, _, number in self._homes(points):
+            box[rows] = number
         return box
 
     def bounds(self, points):
         """k-th distance to the sample points of the own box; infinite if it has fewer."""
-        found, bound = [], np.full(len(points), np.inf)
-        self._walk(np.arange(len(points)), points, None, 0, found)
-        for rows, node in found:
-            members = self.points[self.nodes[node][1]]
+        bound = np.full(len(points), np.inf)
+        for rows, members, _ in self._homes(points):
             if len(members) >= self.k:
-                for part in np.array_split(rows, len(rows) * len(members) // _BLOCK + 1):
-                    gap = distances(points[part], members)
-                    bound[part] = np.partition(gap, self.k - 1, axis=1)[:, self.k - 1]
+                near = self.points[members]
+                for part in np.array_split(rows, len(rows) * len(near) // _BLOCK + 1):
+                    bound[part] = np.partition(distances(points[part], near), self.k - 1, axis=1)[:, self.k - 1]
         return bound
 
     def touched(self, points, radius):
-        """(row, box) for every box within the radius of the row."""
-        found = []
-        self._walk(np.arange(len(points)), points, radius, 0, found)
-        rows = np.concatenate([r for r, _ in found]) if found else np.zeros(0, dtype=int)
-        boxes = np.concatenate([np.full(len(r), self.nodes[n][2], dtype=np.int32) for r, n in found]) \
-            if found else np.zeros(0, dtype=np.int32)
-        return rows, boxes
+        """(row, box) for every box no further from the row than its radius.
+
+        The distance to a box grows dimension by dimension on the way down, so far-away points
+        are pruned by their true distance to the box.
+        """
+        apart = np.maximum(np.maximum(self.low - points, points - self.high), 0.0)
+        todo, rows_out, boxes_out = [(np.arange(len(points)), apart, 0)], [], []
+        while todo:
+            rows, apart, at = todo.pop()
+            near = (apart * apart).sum(axis=1) <= radius[rows] ** 2
+            rows, apart = rows[near], apart[near]
+            if not len(rows):
+                continue
+            d, cut, left, right = self.nodes[at]
+            if d is None:
+                rows_out.append(rows)
+                boxes_out.append(np.full(len(rows), left, dtype=np.int32))
+                continue
+            gap = points[rows, d] - cut
+            for child, beyond in ((left, gap), (right, -gap)):
+                further = apart.copy()
+                further[:, d] = np.maximum(further[:, d], beyond)
+                todo.append((rows, further, child))
+        if not rows_out:
+            return np.zeros(0, dtype=int), np.zeros(0, dtype=np.int32)
+        return np.concatenate(rows_out), np.concatenate(boxes_out)
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -196,7 +212,9 @@ def _nearest_values(receivers: DataFrame, pool: DataFrame, width: int, targets:
     points = materialize(_donor_points(pool, spaces, zs, k))
 
     # Boxes from a bounded sample; its size follows the number of donor points.
-    sizes = {r["space"]: r["count"] for r in points.groupBy("space").count().collect()}
+    extent = [f(z).alias(f"{n}{z}") for z in zs for f, n in ((F.min, "low_"), (F.max, "high_"))]
+    known = {r["space"]: r for r in points.groupBy("space").agg(F.count(F.lit(1)).alias("count"), *extent).collect()}
+    sizes = {i: r["count"] for i, r in known.items()}
     shares = {i: min(1.0, min(MAX_SAMPLE, max(4 * BOX_SAMPLE, BOX_SAMPLE * n // box_points)) / n)
               for i, n in sizes.items()}
     sample = points.sampleBy("space", shares, seed=11).select("space", *zs).toPandas().drop_duplicates()
@@ -204,7 +222,8 @@ def _nearest_values(receivers: DataFrame, pool: DataFrame, width: int, targets:
     for i, (_, _, share) in enumerate(spaces):
         got = sample.loc[sample["space"] == i, zs].to_numpy(dtype=float)
         capacity = BOX_SAMPLE if sizes[i] > box_points else 2 * len(got) + 2 * k
-        trees[i] = (got, _split_points(got, _members(share, width), k, capacity), k)
+        low, high = (np.array([known[i][f"{n}{z}"] for z in zs]) for n in ("low_", "high_"))
+        trees[i] = (got, _split_points(got, _members(share, width), k, capacity), low, high, k)
     shared_trees = spark.sparkContext.broadcast(trees)
 
     def project(space, z):

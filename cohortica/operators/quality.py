@@ -76,8 +76,6 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: dict[str,
     """
     counts = value_counts(df, columns)
     ranked = running_totals(counts, "value", ["n"], group=["feature"])
-    totals = ranked.groupBy("feature").agg(F.sum("n").alias("total"))
-    ranked = ranked.join(F.broadcast(totals), "feature")  # one row per column of the schema
     first, last = F.col("before_n"), F.col("before_n") + F.col("n") - 1
 
     def at(position):
@@ -85,9 +83,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: dict[str,
 
     parts, out = [], []
     for name, q in probabilities.items():
-        position = (F.col("total") - 1).cast("double") * F.lit(float(q))
+        position = (F.col("total_n") - 1).cast("double") * F.lit(float(q))
         low = F.floor(position)
-        parts += [at(low).alias(f"{name}_lo"), at(F.least(low + 1, F.col("total") - 1)).alias(f"{name}_hi"),
+        parts += [at(low).alias(f"{name}_lo"), at(F.least(low + 1, F.col("total_n") - 1)).alias(f"{name}_hi"),
                   F.max(position - low).alias(f"{name}_f")]
         out.append((F.col(f"{name}_lo") + (F.col(f"{name}_hi") - F.col(f"{name}_lo")) * F.col(f"{name}_f")).alias(name))
     return ranked.groupBy("feature").agg(*parts).select("feature", *out)

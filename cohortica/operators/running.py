@@ -26,29 +26,36 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def range_parts(df: DataFrame, order: str, group: list[str] = ()) -> DataFrame:
+    """Rows range-partitioned by (group, order), with their partition number, checkpointed."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(
+        df.repartitionByRange(parts, *group, order).withColumn("_part", F.spark_partition_id()))
+
+
 def running_totals(df: DataFrame, order: str, sums: list[str], group: list[str] = (),
                    following: str | None = None) -> DataFrame:
-    """Add `before_<c>` = the sum of c over rows that sort earlier, for each c in `sums`.
+    """Add `before_<c>`, the sum of c over rows that sort earlier, and `total_<c>`, over all rows.
 
-    `df` holds one row per (group, order) value, i.e. it is already aggregated. `group` names
-    columns with few values (a feature name). With `following`, also add the next order value.
+    `df` holds one row per (group, order) value, i.e. it is already aggregated; it may come from
+    `range_parts`. `group` names columns with few values (a feature name). With `following`, also
+    add the next order value.
 
     Rows are range-partitioned and checkpointed once with their partition number; per-partition
     sums (at most partitions + groups rows) are turned into offsets and added to a running sum
     that is local to each partition.
     """
     group = list(group)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(
-        df.repartitionByRange(parts, *group, order).withColumn("_part", F.spark_partition_id())
-    )
+    ranged = df if "_part" in df.columns else range_parts(df, order, group)
     edges = ranged.groupBy("_part", *group).agg(
         *[F.sum(c).alias(f"_sum_{c}") for c in sums], F.min(order).alias("_first"))
-    by_part = Window.partitionBy(*group).orderBy("_part")
+    whole = Window.partitionBy(*group)
+    by_part = whole.orderBy("_part")
     prior = by_part.rowsBetween(Window.unboundedPreceding, -1)
     offsets = edges.select(
         "_part", *group,
         *[F.coalesce(F.sum(f"_sum_{c}").over(prior), F.lit(0)).alias(f"_off_{c}") for c in sums],
+        *[F.sum(f"_sum_{c}").over(whole).alias(f"total_{c}") for c in sums],
         F.lead("_first").over(by_part).alias("_next_first"),
     )
     local = Window.partitionBy("_part", *group).orderBy(order)
@@ -59,4 +66,4 @@ def running_totals(df: DataFrame, order: str, sums: list[str], group: list[str]
     added = [(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(f"before_{c}") for c in sums]
     if following:
         added.append(F.coalesce("_next_local", "_next_first").alias(following))
-    return out.select(*df.columns, *added)
+    return out.select(*[c for c in ranged.columns if c != "_part"], *added, *[f"total_{c}" for c in sums])

@@ -36,11 +36,11 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "left",
-                max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Join to a table expected to be small: broadcast if measured small, else salted."""
+                max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES, **probe_args) -> DataFrame:
+    """Join to a table that may be small: broadcast if measured small, else salted."""
     if is_small(right, max_rows, max_bytes):
         return left.join(F.broadcast(right), on, how)
-    return salted_join(left, right, on, how)
+    return salted_join(left, right, on, how, **probe_args)
 
 
 def hot_keys(df: DataFrame, on, rows_per_task: int = ROWS_PER_TASK,

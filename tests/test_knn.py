@@ -95,7 +95,7 @@ def test_default_tie_break_is_the_value(spark):
 def test_boxes_partition_the_points():
     points = np.random.default_rng(1).normal(size=(500, 3)).round(1)
     points = np.unique(points, axis=0)
-    boxes = _Boxes(points, _split_points(points, [0, 1, 2], 5, 16), 5)
+    boxes = _Boxes(points, _split_points(points, [0, 1, 2], 5, 16), points.min(axis=0), points.max(axis=0), 5)
     own = boxes.own_boxes(points)
     assert np.bincount(own).min() >= 5 and own.max() > 10
     queries = np.random.default_rng(2).normal(size=(50, 3))
@@ -106,3 +106,6 @@ def test_boxes_partition_the_points():
     met = set(zip(rows.tolist(), reached.tolist()))
     for i in range(50):  # every point within the bound lies in a box that was reached
         assert all((i, int(b)) in met for b in own[gap[i] <= bound[i]])
+    assert len(rows) < 0.6 * 50 * (own.max() + 1)
+    far = np.full((1, 3), 50.0)  # a point far outside still meets only the boxes on its side
+    assert len(boxes.touched(far, boxes.bounds(far))[0]) < (own.max() + 1) / 2
