@@ -204,6 +204,11 @@ ORACLES["filter_not_null"] = "select l_orderkey, l_linenumber, l_discount from l
 ORACLES["top_rows"] = """
 select o_orderkey, o_custkey, o_totalprice from orders order by o_totalprice desc nulls last, o_orderkey limit 10"""
 
+ORACLES["head_rows"] = "select o_orderkey, o_custkey, o_orderdate from orders order by o_orderkey limit 5"
+ORACLES["label_domain"] = """
+select 'toxic' as column_name, cast(toxic as varchar) as value, count(*) as n from labels where toxic <> 0 group by toxic
+union all select 'quality', cast(quality as varchar), count(*) from labels where quality not in (0, 1) group by quality"""
+
 # --- splits and weights
 _RANKED = """ranked as (select o_orderkey, o_orderstatus, count(*) over (partition by o_orderstatus) as n,
   row_number() over (partition by o_orderstatus order by md5(concat(cast(o_orderkey as varchar), ':42')), o_orderkey) as rn from orders)"""

@@ -293,6 +293,17 @@ def top_rows(spark, d):
                             "o_totalprice", 10, ["o_orderkey"])
 
 
+@query
+def head_rows(spark, d):
+    return quality.head_rows(read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), 5, ["o_orderkey"])
+
+
+@query
+def label_domain(spark, d):
+    """Labels outside their allowed values; toxicity is held to 0 so that something is found."""
+    return quality.domain_violations(read(spark, d, "labels"), {"quality": [0, 1], "toxic": [0]})
+
+
 # --- splits and weights ------------------------------------------------------------------------
 
 @query

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortica import fixed
 from cohortica.functions import clean_number, ilike_any
-from cohortica.operators.skew import lookup_join, salted_star
+from cohortica.operators.skew import hot_keys, lookup_join, salted_join, salted_star
 
 
 def filter_labels(dictionary: DataFrame, label: str, patterns: list[str],
@@ -70,16 +70,21 @@ def code_matches(codes: DataFrame, *, columns: list[str], code: str, patterns: l
     return codes.where(ilike_any(F.col(code), patterns)).select(*columns).distinct()
 
 
-def flag_label(anchors: DataFrame, codes: DataFrame, *, key: str, code: str,
-               patterns: list[str], flag: str, dedupe: bool = True) -> DataFrame:
+def code_hits(codes: DataFrame, *, key: str, code: str, patterns: list[str], flag: str,
+              dedupe: bool = True) -> DataFrame:
+    """(key, 1) once per key with a matching code, or once per distinct matching code of it."""
+    columns = [key] if dedupe else [key, code]
+    return code_matches(codes, columns=columns, code=code, patterns=patterns).select(key, F.lit(1).alias(flag))
+
+
+def flag_label(anchors: DataFrame, codes: DataFrame, *, key: str, code: str, patterns: list[str],
+               flag: str, dedupe: bool = True, **probe_args) -> DataFrame:
     """Add a 0/1 flag: does the key have a matching code?
 
     With `dedupe=False` the row repeats once per distinct matching code of the key.
     """
-    columns = [key] if dedupe else [key, code]
-    hits = code_matches(codes, columns=columns, code=code, patterns=patterns)
-    hits = hits.select(key, F.lit(1).alias(flag))
-    return anchors.join(hits, key, "left").withColumn(flag, F.coalesce(flag, F.lit(0)))
+    hits = code_hits(codes, key=key, code=code, patterns=patterns, flag=flag, dedupe=dedupe)
+    return salted_join(anchors, hits, key, "left", **probe_args).withColumn(flag, F.coalesce(flag, F.lit(0)))
 
 
 def nutrition_labs(d_labitems: DataFrame) -> DataFrame:
@@ -103,8 +108,9 @@ def first_observations(omr: DataFrame, tie_break: str = "seq") -> DataFrame:
 def build_cohort(tables: dict[str, DataFrame], dedupe: bool = True) -> DataFrame:
     """One wide row per admission from the six clinical tables (29 columns).
 
-    Both subject-level tables join in one salted pass over the admissions; the admission-level
-    tables are aggregated to one row per admission before they join.
+    The subject-level tables join in one salted pass over the admissions and the admission-level
+    ones, aggregated to one row per admission, in a second. Hot keys are looked up on the
+    admissions themselves.
     """
     admissions = tables["admissions"]
     base = admissions.select("subject_id", "hadm_id", "admission_type", "admission_location",
@@ -113,9 +119,11 @@ def build_cohort(tables: dict[str, DataFrame], dedupe: bool = True) -> DataFrame
     observed = first_observations(tables["omr"]).withColumn("subject_id:1", F.col("subject_id"))
     labs = nutrition_lab_events(tables["labevents"], tables["d_labitems"], admissions)
     labs = labs.withColumn("hadm_id:1", F.col("hadm_id"))
-    wide = salted_star(base, [patients, observed], "subject_id", "left").join(labs, "hadm_id", "left")
-    wide = flag_label(wide, tables["diagnoses_icd"], key="hadm_id", code="icd_code",
-                      patterns=fixed.LABEL_CODE_PATTERNS, flag=fixed.LABEL_COLUMN, dedupe=dedupe)
+    hits = code_hits(tables["diagnoses_icd"], key="hadm_id", code="icd_code",
+                     patterns=fixed.LABEL_CODE_PATTERNS, flag=fixed.LABEL_COLUMN, dedupe=dedupe)
+    wide = salted_star(base, [patients, observed], "subject_id", hot=hot_keys(base, "subject_id"))
+    wide = salted_star(wide, [labs, hits], "hadm_id", hot=hot_keys(base, "hadm_id"))
+    wide = wide.withColumn(fixed.LABEL_COLUMN, F.coalesce(fixed.LABEL_COLUMN, F.lit(0)))
     return wide.select(
         "subject_id", "hadm_id", "gender", "age", "admission_type", "admission_location",
         "marital_status", "race", "`hadm_id:1`", *fixed.LAB_MEASURES, "`subject_id:1`",

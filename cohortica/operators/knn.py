@@ -215,7 +215,8 @@ def _nearest_values(receivers: DataFrame, pool: DataFrame, width: int, targets:
     extent = [f(z).alias(f"{n}{z}") for z in zs for f, n in ((F.min, "low_"), (F.max, "high_"))]
     known = {r["space"]: r for r in points.groupBy("space").agg(F.count(F.lit(1)).alias("count"), *extent).collect()}
     sizes = {i: r["count"] for i, r in known.items()}
-    shares = {i: min(1.0, min(MAX_SAMPLE, max(4 * BOX_SAMPLE, BOX_SAMPLE * n // box_points)) / n)
+    most = MAX_SAMPLE // len(sizes)
+    shares = {i: min(1.0, min(most, max(4 * BOX_SAMPLE, BOX_SAMPLE * n // box_points)) / n)
               for i, n in sizes.items()}
     sample = points.sampleBy("space", shares, seed=11).select("space", *zs).toPandas().drop_duplicates()
     trees = {}

@@ -155,3 +155,8 @@ def count_matching(df: DataFrame, condition) -> DataFrame:
 def top_rows(df: DataFrame, by: str, n: int, tie_break: list[str]) -> DataFrame:
     """The n largest by one column, missing last, ties settled by the given columns."""
     return df.orderBy(F.desc_nulls_last(by), *tie_break).limit(n)
+
+
+def head_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """A preview: the first n rows in the given order (a table itself has none)."""
+    return df.orderBy(*order).limit(n)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -17,6 +19,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="cohortica-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
 
 

@@ -126,6 +126,13 @@ def test_train_evaluate_gate_and_importance(prepared, spark, tmp_path):
     assert len(train.feature_importance(model, None).collect()) > 15
 
 
+def test_category_with_many_levels_and_unseen_values(spark):
+    df = spark.range(400).select(F.concat(F.lit("c"), F.col("id") % 90).alias("kind"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    model = train.fit_classifier(df, QUICK, "y")
+    fresh = spark.createDataFrame([("never seen", 1), (None, 0)], "kind string, y int")
+    assert train.score_rows(model, fresh).count() == 2
+
+
 def test_draw_candidates():
     space = fixed.SEARCH_SPACE
     drawn = train.draw_candidates(space, 64)
