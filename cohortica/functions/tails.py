@@ -16,7 +16,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 def kolmogorov_tail(distance: Column, n_a: Column, n_b: Column, terms: int = 100) -> Column:
     """Asymptotic two-sample Kolmogorov-Smirnov p-value, as an alternating series."""
     a, b = n_a.cast("double"), n_b.cast("double")
-    rate = distance * distance * a * b / (a + b) * F.lit(-2.0)
+    rate = F.try_divide(distance * distance * a * b, a + b) * F.lit(-2.0)
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)),
         F.lit(0.0),

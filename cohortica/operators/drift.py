@@ -46,6 +46,11 @@ def _with_totals(counts: DataFrame) -> DataFrame:
     return counts.join(F.broadcast(_totals(counts)), "feature")
 
 
+def _both_sides():
+    """Inside an aggregate per feature: does each period have values? Otherwise the score is NULL."""
+    return (F.max("total_a") > 0) & (F.max("total_b") > 0)
+
+
 def _cdf_gap():
     upto_a, upto_b = F.col("before_a") + F.col("a"), F.col("before_b") + F.col("b")
     return F.abs(F.try_divide(upto_a.cast("double"), F.col("total_a")) - F.try_divide(upto_b.cast("double"), F.col("total_b")))
@@ -58,10 +63,11 @@ def ranked_counts(counts: DataFrame) -> DataFrame:
     counts, around the mean.
     """
     ranged = range_parts(counts, "value", _FEATURE)
-    centre = ranged.groupBy("feature").agg((F.sum(F.col("a") * F.col("value")) / F.sum("a")).alias("centre"))
+    rows = F.sum("a").cast("double")
+    centre = ranged.groupBy("feature").agg(F.try_divide(F.sum(F.col("a") * F.col("value")), rows).alias("centre"))
     off = F.col("value") - F.col("centre")
     deviation = (ranged.join(F.broadcast(centre), "feature").groupBy("feature")
-                 .agg(F.sqrt(F.sum(F.col("a") * off * off) / F.sum("a")).alias("deviation")))
+                 .agg(F.sqrt(F.try_divide(F.sum(F.col("a") * off * off), rows)).alias("deviation")))
     ranked = running_totals(ranged, "value", ["a", "b"], group=_FEATURE, following="next_value")
     return ranked.join(F.broadcast(deviation), "feature")
 
@@ -70,14 +76,15 @@ def wasserstein(ranked: DataFrame, normed: bool = True) -> DataFrame:
     """(feature, distance): area between the two distribution functions, over the reference deviation."""
     area = F.coalesce(F.sum(_cdf_gap() * (F.col("next_value") - F.col("value"))), F.lit(0.0))
     unit = F.greatest(F.max("deviation"), F.lit(fixed.DRIFT_MIN_SCALE)) if normed else F.lit(1.0)
-    return ranked.groupBy("feature").agg((area / unit).alias("distance"))
+    return ranked.groupBy("feature").agg(F.when(_both_sides(), area / unit).alias("distance"))
 
 
 def kolmogorov_smirnov(ranked: DataFrame) -> DataFrame:
     """(feature, distance, p_value) of the two-sample test, asymptotic p-value."""
     return (ranked.groupBy("feature")
             .agg(F.max(_cdf_gap()).alias("distance"), F.max("total_a").alias("n_a"), F.max("total_b").alias("n_b"))
-            .select("feature", "distance", kolmogorov_tail(F.col("distance"), F.col("n_a"), F.col("n_b")).alias("p_value")))
+            .select("feature", "distance", F.when(
+                F.col("distance").isNotNull(), kolmogorov_tail(F.col("distance"), F.col("n_a"), F.col("n_b"))).alias("p_value")))
 
 
 def bin_counts(counts: DataFrame) -> DataFrame:
@@ -98,7 +105,8 @@ def jensen_shannon(counts: DataFrame) -> DataFrame:
     middle = (p + q) / 2.0
     part = lambda share: F.when(share > 0, share * F.ln(share / middle)).otherwise(0.0)
     return (_with_totals(counts).groupBy("feature")
-            .agg(F.sqrt(F.greatest(F.sum(0.5 * part(p) + 0.5 * part(q)), F.lit(0.0))).alias("distance")))
+            .agg(F.when(_both_sides(), F.sqrt(F.greatest(F.sum(0.5 * part(p) + 0.5 * part(q)), F.lit(0.0))))
+                 .alias("distance")))
 
 
 def chi_square(counts: DataFrame) -> DataFrame:
@@ -106,13 +114,14 @@ def chi_square(counts: DataFrame) -> DataFrame:
 
     A value the reference never had makes the p-value zero.
     """
-    expected = F.col("total_b") * (F.col("a").cast("double") / F.col("total_a"))
+    expected = F.col("total_b") * F.try_divide(F.col("a").cast("double"), F.col("total_a"))
     gap = F.col("b") - expected
+    part = F.when(F.col("a") > 0, F.try_divide(gap * gap, expected)).otherwise(0.0)
     stats = (_with_totals(counts).groupBy("feature").agg(
-        F.coalesce(F.sum(F.when(F.col("a") > 0, gap * gap / expected)), F.lit(0.0)).alias("statistic"),
+        F.when(_both_sides(), F.sum(part)).alias("statistic"),
         (F.count_if(F.col("a") > 0) - 1).alias("degrees"),
         F.count_if(F.col("a") == 0).alias("new_values")))
-    tail = F.when(F.col("new_values") > 0, 0.0).when(F.col("degrees") < 1, 1.0) \
+    tail = F.when(F.col("statistic").isNull(), None).when(F.col("new_values") > 0, 0.0).when(F.col("degrees") < 1, 1.0) \
         .otherwise(chi_square_tail(F.col("statistic"), F.col("degrees")))
     return stats.withColumn("p_value", tail)
 
@@ -122,9 +131,11 @@ def proportion_z(counts: DataFrame) -> DataFrame:
     firsts = counts.groupBy("feature").agg(
         F.min_by("a", "value").alias("x"), F.min_by("b", "value").alias("y"),
         F.sum("a").cast("double").alias("n_a"), F.sum("b").cast("double").alias("n_b"))
-    pooled = (F.col("x") + F.col("y")) / (F.col("n_a") + F.col("n_b"))
-    spread = F.sqrt(pooled * (1.0 - pooled) * (1.0 / F.col("n_a") + 1.0 / F.col("n_b")))
-    z = F.coalesce(F.try_divide(F.col("x") / F.col("n_a") - F.col("y") / F.col("n_b"), spread), F.lit(0.0))
+    pooled = F.try_divide(F.col("x") + F.col("y"), F.col("n_a") + F.col("n_b"))
+    gap = F.try_divide(F.col("x"), F.col("n_a")) - F.try_divide(F.col("y"), F.col("n_b"))
+    spread = F.sqrt(pooled * (1.0 - pooled) * (F.try_divide(F.lit(1.0), "n_a") + F.try_divide(F.lit(1.0), "n_b")))
+    # A feature with one value on both sides has no spread and no gap; a missing side gives NULL.
+    z = F.when(gap.isNotNull(), F.coalesce(F.try_divide(gap, spread), F.lit(0.0)))
     return firsts.select("feature", z.alias("z")).withColumn("p_value", normal_two_sided_tail(F.col("z")))
 
 
@@ -167,7 +178,8 @@ def _scores(counts: DataFrame, numeric: bool) -> DataFrame:
 def drift_features(reference: DataFrame, current: DataFrame) -> DataFrame:
     """(feature, method, threshold, drift_score, drifted) for every shared column.
 
-    Distances drift at or above the threshold, p-values below it.
+    Distances drift at or above the threshold, p-values below it. A column without values in one
+    period has no score and is not called drifted.
     """
     numeric, text = shared_columns(reference, current)
     parts = []
@@ -182,6 +194,7 @@ def drift_features(reference: DataFrame, current: DataFrame) -> DataFrame:
     distance = F.col("method").isin("wasserstein", "jensen_shannon")
     threshold = F.when(distance, fixed.DRIFT_DISTANCE_THRESHOLD).otherwise(fixed.DRIFT_P_THRESHOLD)
     drifted = F.when(distance, F.col("score") >= threshold).otherwise(F.col("score") < threshold)
+    drifted = F.coalesce(drifted, F.lit(False))
     return scores.select("feature", "method", threshold.alias("threshold"),
                          F.round("score", 4).alias("drift_score"), drifted.alias("drifted"))
 

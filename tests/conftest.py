@@ -12,7 +12,7 @@ def spark(tmp_path_factory):
 
     session = (
         SparkSession.builder.master("local[8]").appName("cohortica-tests")
-        .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g")
         .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")  # short jobs: compile quickly
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))

@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from cohortica.functions.tails import _chi_square_tail
 from cohortica.operators import drift
@@ -111,6 +112,20 @@ def test_method_by_size_and_direction(spark, tmp_path, n, methods):
     assert spark.read.parquet(str(tmp_path / "new" / "report" / "features")).count() == 6
 
 
+@pytest.mark.parametrize("n", [20, 1200])
+def test_a_period_without_values(spark, n):
+    a = pd.DataFrame({"lab": np.arange(n, dtype=float), "kind": ["x", "y"] * (n // 2), "more": ["x", "y"] * (n // 2), "flag": [0.0, 1.0] * (n // 2)})
+    b = spark.createDataFrame([(1.0,)] * 5, "z double").select(
+        F.lit(None).cast("double").alias("lab"), F.lit(None).cast("string").alias("kind"), F.lit("x").alias("more"),
+        F.lit(None).cast("double").alias("flag"))
+    for x, y in [(spark.createDataFrame(a), b), (b, spark.createDataFrame(a))]:
+        got = {r["feature"]: r for r in drift.drift_features(x, y).collect()}
+        assert set(got) == set(a.columns)
+        for f in ["lab", "kind", "flag"]:
+            assert got[f]["drift_score"] is None and got[f]["drifted"] is False
+        assert got["more"]["drift_score"] is not None
+
+
 def test_no_shared_column(spark):
     with pytest.raises(ValueError):
         drift.drift_features(spark.createDataFrame([(1,)], "a int"), spark.createDataFrame([(1,)], "b int"))

@@ -97,7 +97,8 @@ def wide(spark):
 
 @pytest.fixture(scope="module")
 def prepared(wide):
-    return prepare_train_test(wide)
+    train_df, test_df, model = prepare_train_test(wide)
+    return train_df.persist(), test_df.persist(), model
 
 
 def test_prepared_frames_keep_the_contracts(prepared):
@@ -111,7 +112,6 @@ def test_prepared_frames_keep_the_contracts(prepared):
 
 def test_train_evaluate_gate_and_importance(prepared, spark, tmp_path):
     train_df, test_df, _ = prepared
-    train_df = train_df.persist()
     model, metrics = train.train_model(train_df, "hadm_id", QUICK)
     train.require_quality(metrics, {"accuracy": 0.4, "recall": 0.4})
     with pytest.raises(ValueError, match="accuracy"):
@@ -143,7 +143,7 @@ def test_draw_candidates():
 
 
 def test_random_search(prepared, spark):
-    frame = prepared[0].persist()
+    frame = prepared[0]
     space = {"n_estimators": [2], "max_depth": [2, 3], "learning_rate": [0.3], "class_weight": [None, "balanced"], "num_leaves": [15]}
     model, metrics, log = train.random_search(frame, "hadm_id", space=space, n_iter=2, folds=2, parallelism=2)
     log = log.persist()

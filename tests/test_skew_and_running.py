@@ -36,6 +36,8 @@ def test_salted_join_equals_plain_join(spark, skewed, how):
 
 
 def test_salted_rows_spread_over_tasks(spark, skewed):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", False)
     try:
@@ -43,6 +45,7 @@ def test_salted_rows_spread_over_tasks(spark, skewed):
         joined = salted_join(skewed, right, "k", "inner", **EVERY)
         parts = joined.where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
     finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert parts > 4
