@@ -10,6 +10,7 @@ from cohortica.functions import (
     first_match, group_admission_location, group_admission_type, group_race,
 )
 from cohortica.operators import clean, cohort, drift, knn, metrics, quality, runs, scale, split
+from cohortica.operators.running import materialize
 from cohortica.plans import train
 from cohortica.plans.preprocess import AdmissionPreprocessor
 from cohortica.sources.files import typed_from_text
@@ -204,6 +205,7 @@ def impute_patients(spark, d):
         "subject_id", "age", "gender", (F.col("height_in") * F.lit(fixed.CM_PER_INCH)).alias("height_cm"),
         (F.col("weight_lb") / F.lit(fixed.POUNDS_PER_KG)).alias("weight_kg"),
         F.lit("WHITE").alias("race"), F.lit("URGENT").alias("admission_type"), F.lit("PACU").alias("admission_location"))
+    frame = materialize(frame)  # the fit and the transform read it several times
     model = AdmissionPreprocessor(tieBreak="subject_id").fit(frame)
     return _rounded(model.transform(frame).select("subject_id", "height_cm", "weight_kg", "bmi"), 3)
 

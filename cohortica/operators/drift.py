@@ -149,16 +149,13 @@ def _method(numeric: bool):
 
 
 def _scores(counts: DataFrame, numeric: bool) -> DataFrame:
-    """(feature, method, score) with the test chosen per feature."""
+    """(feature, method, score) with the test chosen per feature; one small row per column is collected."""
     counts = materialize(counts)
-    chosen = materialize(
-        counts.groupBy("feature").agg(F.sum("a").alias("total_a"), F.count(F.lit(1)).alias("distinct_values"))
-        .select("feature", _method(numeric).alias("method")))
-    used = {r["method"] for r in chosen.select("method").distinct().collect()}
+    chosen = (counts.groupBy("feature").agg(F.sum("a").alias("total_a"), F.count(F.lit(1)).alias("distinct_values"))
+              .select("feature", _method(numeric).alias("method")).collect())
 
     def rows(method):
-        names = F.broadcast(chosen.where(F.col("method") == method).select("feature"))
-        return counts.join(names, "feature", "left_semi")
+        return counts.where(F.col("feature").isin([r["feature"] for r in chosen if r["method"] == method]))
 
     makers = {
         "wasserstein": lambda c: wasserstein(ranked_counts(c)).select("feature", F.col("distance").alias("score")),
@@ -169,7 +166,7 @@ def _scores(counts: DataFrame, numeric: bool) -> DataFrame:
     }
     out = None
     for method, make in makers.items():
-        if method in used:
+        if method in {r["method"] for r in chosen}:
             scored = make(rows(method)).withColumn("method", F.lit(method))
             out = scored if out is None else out.unionByName(scored)
     return out
