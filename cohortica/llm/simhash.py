@@ -259,12 +259,13 @@ def links(nodes: DataFrame, tau: int = 3) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
                     tau: int = 3) -> DataFrame:
-    """(doc_id, text_hash, fp, component_id), one row per row of `docs`: the SimHash group of each document.
+    """(doc_id, text_hash, fp, group, component_id), one row per row of `docs`: the SimHash group of each document.
 
     component_id is the smallest doc_id reachable over links of at most `tau` differing bits. NULL and
     wordless texts have fingerprint 0 and are linked like any other. NULL ids are never the smallest unless a
     group has no other. Repeated rows are members like any other. Other columns are left alone. An empty
-    table gives an empty result. `text_hash` tells rows with one id apart.
+    table gives an empty result. `text_hash` tells rows with one id apart; `group` (a fingerprint of the group)
+    tells groups apart whose smallest ids are equal or NULL.
     """
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     hashed = fingerprints(plain.withColumn("text_hash", F.xxhash64("text")))
@@ -272,9 +273,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     nodes = checkpoint(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
     joined = checkpoint(components(links(nodes, tau)))
     lows = (joined.join(nodes, joined.node == nodes.fp).groupBy("root").agg(F.min("low").alias("least_id")))
-    linked = joined.join(lows, "root").select(F.col("node").alias("fp"), "least_id")
-    groups = nodes.join(linked, "fp", "left").select("fp", F.coalesce("least_id", "low").alias("component_id"))
-    return rows.join(groups, "fp", "left").select("doc_id", "text_hash", "fp", "component_id")
+    linked = joined.join(lows, "root").select(F.col("node").alias("fp"), "root", "least_id")
+    alone = F.col("root").isNull()
+    groups = nodes.join(linked, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("group"), F.when(alone, F.col("low")).otherwise(F.col("least_id")).alias("component_id"))
+    return rows.join(groups, "fp", "left").select("doc_id", "text_hash", "fp", "group", "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, tau: int = 3) -> DataFrame:
@@ -283,12 +286,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     """
     groups = near_duplicates(docs, doc_id, text, shingle, tau)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
-    # a group is named by its component_id; groups without any id by their fingerprint's group are told apart below
-    kept = (groups.where("component_id is not null").groupBy("component_id").agg(F.min(order).alias("first"))
-            .select("first.doc_id", "first.text_hash"))
-    nameless = (groups.where("component_id is null").groupBy("fp").agg(F.min(order).alias("first"))
-                .select("first.doc_id", "first.text_hash"))
-    kept = kept.union(nameless).distinct()
+    kept = groups.groupBy("group").agg(F.min(order).alias("first")).select("first.doc_id", "first.text_hash")
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text_hash").alias("key")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     rows = rows.select("row", F.col(f"row.`{doc_id}`").alias("doc_id"),
