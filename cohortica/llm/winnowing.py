@@ -60,10 +60,11 @@ def _hits(docs: DataFrame, windows: DataFrame, length: int, gram: int) -> DataFr
                         .select(F.explode(_fingerprints(text, k, wide)).alias("print")).distinct())
     prints = small_side(prints)
     # find: documents that keep a fingerprint of the benchmark
-    kept = _gram_hashes(docs, k).select("digest", F.explode(_fingerprints(docs, k, wide)).alias("print"))
-    found = kept.join(prints, "print", "left_semi").select("digest").distinct()
+    split = docs.select("digest", words(F.col("text")).alias("words")).where(F.size("words") >= length)
+    kept = _gram_hashes(split, k).select("digest", F.explode(_fingerprints(split, k, wide)).alias("print"))
+    found = small_side(checkpoint(kept.join(prints, "print", "left_semi").select("digest").distinct()))
     # extend: the k-grams of those documents that hit, with all words a window around them can hold
-    near = docs.join(found, "digest", "left_semi").dropDuplicates(["digest"])
+    near = docs.join(found, "digest", "left_semi").dropDuplicates(["digest"]).select("digest", words(F.col("text")).alias("words"))
     first = lambda i: F.greatest(F.lit(1), i - (wide - 1))
     around = near.select("digest", "words", F.size("words").alias("n")).select("digest", F.inline(F.transform(
         _span(F.lit(1), F.col("n") - (k - 1)),
@@ -91,8 +92,8 @@ def contaminated_words(docs: DataFrame, items: DataFrame, text: str = "text", it
     windows = windows.groupBy("length", "window").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
     windows = checkpoint(windows.withColumn("items_key", F.unhex(F.md5(F.to_json("items").cast("binary")))))
     lengths = sorted(r[0] for r in windows.select("length").distinct().collect())  # at most `span` values
-    split = docs.select(digest(F.col(text)).alias("digest"), words(F.col(text)).alias("words"))
-    parts = [_hits(split.where(F.size("words") >= n), windows.where(F.col("length") == n), n, gram) for n in lengths]
+    texts = docs.select(digest(F.col(text)).alias("digest"), F.col(text).alias("text"))
+    parts = [_hits(texts, windows.where(F.col("length") == n), n, gram) for n in lengths]
     if not parts:
         return docs.sparkSession.createDataFrame([], "digest binary, n_hit long, n_items long, items_sha256 string")
     hits = checkpoint(reduce(DataFrame.union, parts))
