@@ -280,8 +280,9 @@ _DEVIATION = """dev as (select feature, sqrt(sum(a * (value - c) * (value - c))
 _W1 = f"""{_CDF}, {_DEVIATION}, w1 as (select cdf.feature, coalesce(sum(gap * width), 0) / greatest(max(s), 0.001::double) as distance
   from cdf join dev on cdf.feature = dev.feature group by cdf.feature)"""
 _KS = """ksd as (select feature, max(gap) as distance, max(ta)::double as ta, max(tb)::double as tb from cdf group by feature),
-ks as (select feature, max(distance) as distance, least(1, greatest(0, 2 * sum((case when j % 2 = 1 then 1 else -1 end)
-  * exp(-2 * distance * distance * ta * tb / (ta + tb) * j * j)))) as p_value from ksd, range(1, 101) as r(j) group by feature)"""
+ks as (select feature, max(distance) as distance, case when max(-2 * distance * distance * ta * tb / (ta + tb)) > -0.08 then 1.0::double
+  else least(1, greatest(0, 2 * sum((case when j % 2 = 1 then 1 else -1 end) * exp(-2 * distance * distance * ta * tb / (ta + tb) * j * j)))) end as p_value
+  from ksd, range(1, 2001) as r(j) group by feature)"""
 
 
 def _js(counts: str) -> str:

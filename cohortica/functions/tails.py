@@ -13,8 +13,12 @@ from pyspark.sql import Column, functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def kolmogorov_tail(distance: Column, n_a: Column, n_b: Column, terms: int = 100) -> Column:
-    """Asymptotic two-sample Kolmogorov-Smirnov p-value, as an alternating series."""
+def kolmogorov_tail(distance: Column, n_a: Column, n_b: Column, terms: int = 20) -> Column:
+    """Asymptotic two-sample Kolmogorov-Smirnov p-value, as an alternating series.
+
+    Above a rate of -0.08 the p-value differs from one by less than 1e-11, and the series converges slowly or
+    not at all; below it the twentieth term is under 1e-13.
+    """
     a, b = n_a.cast("double"), n_b.cast("double")
     rate = F.try_divide(distance * distance * a * b, a + b) * F.lit(-2.0)
     series = F.aggregate(
@@ -23,8 +27,7 @@ def kolmogorov_tail(distance: Column, n_a: Column, n_b: Column, terms: int = 100
         lambda total, j: total
         + F.when(j % 2 == 1, 1.0).otherwise(-1.0) * F.exp(rate * j.cast("double") * j.cast("double")),
     )
-    # The series does not converge at distance zero, where the p-value is one.
-    return F.when(rate > -1e-4, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * series)))
+    return F.when(rate > -0.08, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * series)))
 
 
 def _chi_square_tail(statistic: float, degrees: float) -> float:

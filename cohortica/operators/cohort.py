@@ -71,9 +71,9 @@ def code_matches(codes: DataFrame, *, columns: list[str], code: str, patterns: l
 
 
 def code_hits(codes: DataFrame, *, key: str, code: str, patterns: list[str], flag: str,
-              dedupe: bool = True) -> DataFrame:
-    """(key, 1) once per key with a matching code, or once per distinct matching code of it."""
-    columns = [key] if dedupe else [key, code]
+              dedupe: bool = True, distinct_on: list[str] | None = None) -> DataFrame:
+    """(key, 1) once per key with a matching code, or once per distinct `distinct_on` (key and code) of it."""
+    columns = [key] if dedupe else distinct_on or [key, code]
     return code_matches(codes, columns=columns, code=code, patterns=patterns).select(key, F.lit(1).alias(flag))
 
 
@@ -120,7 +120,8 @@ def build_cohort(tables: dict[str, DataFrame], dedupe: bool = True) -> DataFrame
     labs = nutrition_lab_events(tables["labevents"], tables["d_labitems"], admissions)
     labs = labs.withColumn("hadm_id:1", F.col("hadm_id"))
     hits = code_hits(tables["diagnoses_icd"], key="hadm_id", code="icd_code",
-                     patterns=fixed.LABEL_CODE_PATTERNS, flag=fixed.LABEL_COLUMN, dedupe=dedupe)
+                     patterns=fixed.LABEL_CODE_PATTERNS, flag=fixed.LABEL_COLUMN, dedupe=dedupe,
+                     distinct_on=["subject_id", "hadm_id", "icd_code"])
     wide = salted_star(base, [patients, observed], "subject_id", hot=hot_keys(base, "subject_id"))
     wide = salted_star(wide, [labs, hits], "hadm_id", hot=hot_keys(base, "hadm_id"))
     wide = wide.withColumn(fixed.LABEL_COLUMN, F.coalesce(fixed.LABEL_COLUMN, F.lit(0)))

@@ -129,3 +129,17 @@ def test_a_period_without_values(spark, n):
 def test_no_shared_column(spark):
     with pytest.raises(ValueError):
         drift.drift_features(spark.createDataFrame([(1,)], "a int"), spark.createDataFrame([(1,)], "b int"))
+
+
+def test_ks_p_value_near_one(spark):
+    from cohortica.functions.tails import kolmogorov_tail
+
+    rows = [(d, 5000, 5000) for d in (0.0, 0.0001, 0.0002, 0.0003, 0.001, 0.003, 0.004)] + [(0.02, 5000, 5000), (0.03, 5000, 5000)]
+    df = spark.createDataFrame(rows, "d double, a long, b long")
+    got = [r[0] for r in df.select(kolmogorov_tail(*[df[c] for c in "dab"])).collect()]
+    for (d, a, b), p in zip(rows, got):
+        size = math.sqrt(a * b / (a + b)) * d
+        # the dual series converges where the other does not
+        dual = 1.0 if size == 0 else 1 - math.sqrt(2 * math.pi) / size * sum(
+            math.exp(-((2 * j - 1) * math.pi) ** 2 / (8 * size * size)) for j in range(1, 200))
+        assert p == pytest.approx(dual, abs=1e-9)
