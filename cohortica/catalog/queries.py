@@ -451,9 +451,10 @@ def drift_summary(spark, d):
 
 @query
 def drift_features_small(spark, d):
-    """A small reference switches the tests to p-values."""
+    """The tests with p-values, by name."""
     suppliers = read(spark, d, "supplier").select("s_name", "s_acctbal", "s_nationkey")
-    return drift.drift_features(suppliers.where("s_nationkey < 12"), suppliers.where("s_nationkey >= 12"))
+    return drift.drift_features(suppliers.where("s_nationkey < 12"), suppliers.where("s_nationkey >= 12"),
+                                numeric="kolmogorov_smirnov", text="chi_square")
 
 
 # --- runs ------------------------------------------------------------------------------------------

@@ -160,9 +160,7 @@ EXPORTED_PARAMS = [
 ]
 METRIC_NAMES = ["accuracy", "precision", "recall", "f1_score", "roc_auc"]
 
-# --- Fixed values: drift test choice and thresholds.
-DRIFT_SMALL_REFERENCE = 1000
-DRIFT_FEW_VALUES = 5
+# --- Fixed values: drift thresholds.
 DRIFT_DISTANCE_THRESHOLD = 0.1
 DRIFT_P_THRESHOLD = 0.05
 DRIFT_DATASET_SHARE = 0.5

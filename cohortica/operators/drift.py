@@ -7,6 +7,8 @@ are as small as the schema and safe to broadcast.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from cohortica import fixed
@@ -139,56 +141,52 @@ def proportion_z(counts: DataFrame) -> DataFrame:
     return firsts.select("feature", z.alias("z")).withColumn("p_value", normal_two_sided_tail(F.col("z")))
 
 
-def _method(numeric: bool):
-    """Test by reference size and number of distinct values over both periods."""
-    small = F.col("total_a") <= fixed.DRIFT_SMALL_REFERENCE
-    few = F.col("distinct_values") <= fixed.DRIFT_FEW_VALUES if numeric else F.lit(True)
-    on_counts = F.when(F.col("distinct_values") > 2, "chi_square").otherwise("proportion_z")
-    return (F.when(small & few, on_counts).when(small, "kolmogorov_smirnov")
-            .when(few, "jensen_shannon").otherwise("wasserstein"))
-
-
-def _scores(counts: DataFrame, numeric: bool) -> DataFrame:
-    """(feature, method, score) with the test chosen per feature; one small row per column is collected."""
-    counts = materialize(counts)
-    chosen = (counts.groupBy("feature").agg(F.sum("a").alias("total_a"), F.count(F.lit(1)).alias("distinct_values"))
-              .select("feature", _method(numeric).alias("method")).collect())
-
-    def rows(method):
-        return counts.where(F.col("feature").isin([r["feature"] for r in chosen if r["method"] == method]))
-
-    makers = {
-        "wasserstein": lambda c: wasserstein(ranked_counts(c)).select("feature", F.col("distance").alias("score")),
-        "kolmogorov_smirnov": lambda c: kolmogorov_smirnov(ranked_counts(c)).select("feature", F.col("p_value").alias("score")),
-        "jensen_shannon": lambda c: jensen_shannon(c).select("feature", F.col("distance").alias("score")),
-        "chi_square": lambda c: chi_square(c).select("feature", F.col("p_value").alias("score")),
-        "proportion_z": lambda c: proportion_z(c).select("feature", F.col("p_value").alias("score")),
-    }
-    out = None
-    for method, make in makers.items():
-        if method in {r["method"] for r in chosen}:
-            scored = make(rows(method)).withColumn("method", F.lit(method))
-            out = scored if out is None else out.unionByName(scored)
-    return out
-
-
-def drift_features(reference: DataFrame, current: DataFrame) -> DataFrame:
+#: Score of each test; distances first, then p-values.
+TESTS = {
+    "wasserstein": lambda c: wasserstein(ranked_counts(c)).select("feature", F.col("distance").alias("score")),
+    "jensen_shannon": lambda c: jensen_shannon(c).select("feature", F.col("distance").alias("score")),
+    "kolmogorov_smirnov": lambda c: kolmogorov_smirnov(ranked_counts(c)).select("feature", F.col("p_value").alias("score")),
+    "chi_square": lambda c: chi_square(c).select("feature", F.col("p_value").alias("score")),
+    "proportion_z": lambda c: proportion_z(c).select("feature", F.col("p_value").alias("score")),
+}
+DISTANCES = ("wasserstein", "jensen_shannon")
+NUMBERS_ONLY = ("wasserstein", "kolmogorov_smirnov")
+
+
+def _scores(counts: DataFrame, chosen: dict[str, str]) -> DataFrame:
+    """(feature, method, score) by the test chosen for each feature."""
+    tests = list(dict.fromkeys(chosen.values()))
+    if len(tests) > 1:
+        counts = materialize(counts)
+
+    def scored(test):
+        rows = counts.where(F.col("feature").isin([f for f, t in chosen.items() if t == test]))
+        return TESTS[test](rows).withColumn("method", F.lit(test))
+
+    return reduce(DataFrame.unionByName, map(scored, tests))
+
+
+def drift_features(reference: DataFrame, current: DataFrame, numeric: str = "wasserstein",
+                   text: str = "jensen_shannon", methods: dict[str, str] | None = None) -> DataFrame:
     """(feature, method, threshold, drift_score, drifted) for every shared column.
 
-    Distances drift at or above the threshold, p-values below it. A column without values in one
-    period has no score and is not called drifted.
+    `numeric` and `text` name the test of each kind of column, `methods` that of single columns; the size of
+    the data plays no part. Distances drift at or above the threshold, p-values below it. A column without
+    values in one period has no score and is not called drifted; one without values in both has no row.
     """
-    numeric, text = shared_columns(reference, current)
-    parts = []
-    if numeric:
-        parts.append(_scores(side_counts(reference, current, numeric, "double"), True))
-    if text:
-        parts.append(_scores(side_counts(reference, current, text, "string"), False))
-    parts = [p for p in parts if p is not None]
-    if not parts:
-        raise ValueError("the two periods share no column with values")
-    scores = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    distance = F.col("method").isin("wasserstein", "jensen_shannon")
+    numbers, texts = shared_columns(reference, current)
+    if not numbers and not texts:
+        raise ValueError("the two periods share no column")
+    chosen = {**dict.fromkeys(numbers, numeric), **dict.fromkeys(texts, text), **(methods or {})}
+    for feature, test in chosen.items():
+        if feature not in (*numbers, *texts):
+            raise ValueError(f"the two periods do not share the column {feature!r}")
+        if test not in TESTS or (feature in texts and test in NUMBERS_ONLY):
+            raise ValueError(f"{test!r} is not a test for the column {feature!r}")
+    parts = [_scores(side_counts(reference, current, columns, kind), {c: chosen[c] for c in columns})
+             for columns, kind in ((numbers, "double"), (texts, "string")) if columns]
+    scores = reduce(DataFrame.unionByName, parts)
+    distance = F.col("method").isin(*DISTANCES)
     threshold = F.when(distance, fixed.DRIFT_DISTANCE_THRESHOLD).otherwise(fixed.DRIFT_P_THRESHOLD)
     drifted = F.when(distance, F.col("score") >= threshold).otherwise(F.col("score") < threshold)
     drifted = F.coalesce(drifted, F.lit(False))

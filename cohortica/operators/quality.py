@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from cohortica import fixed
 from cohortica.operators.clean import nulls_for_nans
@@ -135,9 +135,17 @@ def domain_violations(df: DataFrame, rules: dict = fixed.DOMAIN_RULES) -> DataFr
     absent = [c for c in rules if c not in df.columns]
     if absent:
         raise ValueError(f"columns missing from the data: {absent}")
+    kinds = {f.name: f.dataType for f in df.schema}
+
+    def allowed_value(name, allowed):
+        """Numbers are compared as numbers, so that 1.0 is 1; everything else as text."""
+        if isinstance(kinds[name], T.NumericType) and all(isinstance(v, (int, float)) for v in allowed):
+            return _quoted(name).isin(list(allowed))
+        return _quoted(name).cast("string").isin([str(v) for v in allowed])
+
     cells = F.array(*[
         F.struct(F.lit(c).alias("column_name"), _quoted(c).cast("string").alias("value"),
-                 F.coalesce(_quoted(c).cast("string").isin([str(v) for v in allowed]), F.lit(False)).alias("ok"))
+                 F.coalesce(allowed_value(c, allowed), F.lit(False)).alias("ok"))
         for c, allowed in rules.items()])
     return (df.select(F.inline(cells)).where("not ok")
             .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, functions as F, types as T
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 ROWS_PER_TASK = 4_000_000
-MAX_HOT_KEYS = 1000
 PROBE_FRACTION = 0.01
 
 _SALT = "_salt"
@@ -44,20 +43,20 @@ def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "left",
 
 
 def hot_keys(df: DataFrame, on, rows_per_task: int = ROWS_PER_TASK,
-             fraction: float = PROBE_FRACTION, max_hot: int = MAX_HOT_KEYS) -> DataFrame | None:
-    """The heaviest keys with the number of tasks each should be spread over, or None.
+             fraction: float = PROBE_FRACTION) -> DataFrame | None:
+    """All keys of more than `rows_per_task` rows, the missing key too, with the number of tasks to spread each over,
+    or None if there are none.
 
-    At most `max_hot` rows reach the driver. Any key left out holds less than one part in
-    `max_hot` of the rows. The sample only steers balance, so its error cannot change results.
+    There are at most rows / `rows_per_task` of them, so what reaches the driver is a key per full task. The
+    sample only steers balance, so its error cannot change results.
     """
     keys = [on] if isinstance(on, str) else list(on)
     probe = df.select(*keys)
     if fraction < 1.0:
         probe = probe.sample(fraction=fraction, seed=7)
     heavy = (
-        probe.dropna(subset=keys).groupBy(*keys).agg((F.count(F.lit(1)) / F.lit(fraction)).alias("_rows"))
+        probe.groupBy(*keys).agg((F.count(F.lit(1)) / F.lit(fraction)).alias("_rows"))
         .where(F.col("_rows") > rows_per_task)
-        .orderBy(F.desc("_rows"), *keys).limit(max_hot)
         .select(*keys, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_salts"))
     )
     rows = heavy.collect()
@@ -75,9 +74,12 @@ def salted_star(left: DataFrame, rights: list[DataFrame], on, how: str = "left",
     if hot is None:
         return reduce(lambda acc, right: acc.join(right, keys, how), rights, left)
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.col("_salts")).cast("int")
+    # null-safe here: rows without a key match nothing, but they are spread as well
+    named = hot.withColumnsRenamed({c: f"_hot_{c}" for c in keys})
+    same = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"`_hot_{c}`")) for c in keys])
     out = (
-        left.join(F.broadcast(hot), keys, "left")
-        .withColumn(_SALT, F.coalesce(spread, F.lit(0))).drop("_salts")
+        left.join(F.broadcast(named), same, "left")
+        .withColumn(_SALT, F.coalesce(spread, F.lit(0))).drop("_salts", *[f"_hot_{c}" for c in keys])
     )
     for right in rights:
         copies = (

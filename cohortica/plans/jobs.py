@@ -28,9 +28,9 @@ def prepare_train_test(wide: DataFrame, key: str = "hadm_id", neighbours: int =
     return model.transform(train), model.transform(test), model
 
 
-def get_drift_summary(reference: DataFrame, current: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
-    """(summary row, per-feature rows) of the current period against the reference."""
-    features = materialize(drift.drift_features(reference, current))
+def get_drift_summary(reference: DataFrame, current: DataFrame, label: str, **tests) -> tuple[DataFrame, DataFrame]:
+    """(summary row, per-feature rows) of the current period against the reference; `tests` as in drift_features."""
+    features = materialize(drift.drift_features(reference, current, **tests))
     return drift.drift_summary(features, label), features.withColumn("period", F.lit(label))
 
 

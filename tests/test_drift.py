@@ -94,17 +94,20 @@ def frame(n, shift, seed):
         "pair": rng.choice(["M", "F"], n), "only_here": 1.0})
 
 
-@pytest.mark.parametrize("n,methods", [
-    (400, {"lab": "kolmogorov_smirnov", "steady": "kolmogorov_smirnov", "flag": "proportion_z", "level": "chi_square",
-           "kind": "chi_square", "pair": "proportion_z"}),
-    (1500, {"lab": "wasserstein", "steady": "wasserstein", "flag": "jensen_shannon", "level": "jensen_shannon",
-            "kind": "jensen_shannon", "pair": "jensen_shannon"})])
-def test_method_by_size_and_direction(spark, tmp_path, n, methods):
+NAMED = {"lab": "kolmogorov_smirnov", "steady": "kolmogorov_smirnov", "flag": "proportion_z", "level": "chi_square",
+         "kind": "chi_square", "pair": "proportion_z"}
+DEFAULT = {**dict.fromkeys(["lab", "steady", "flag", "level"], "wasserstein"), **dict.fromkeys(["kind", "pair"], "jensen_shannon")}
+
+
+@pytest.mark.parametrize("n,methods", [(400, NAMED), (1500, NAMED), (1500, None)])
+def test_named_tests_and_direction(spark, tmp_path, n, methods):
+    """The same tests at every size: those named, else distances."""
     a, b = frame(n, 0, 1), frame(n, 3, 2).drop(columns="only_here")
     b.loc[:20, "lab"] = np.nan
-    summary, features = get_drift_summary(spark.createDataFrame(a), spark.createDataFrame(b), "Q1")
+    options = {"methods": methods} if methods else {}
+    summary, features = get_drift_summary(spark.createDataFrame(a), spark.createDataFrame(b), "Q1", **options)
     got = {r["feature"]: r for r in features.collect()}
-    assert {f: r["method"] for f, r in got.items()} == methods
+    assert {f: r["method"] for f, r in got.items()} == (methods or DEFAULT)
     assert {f for f, r in got.items() if r["drifted"]} == {"lab", "kind"}
     s = summary.first()
     assert (s["period"], s["total_features"], s["drifted_features"], s["drift_share"], s["dataset_drift"]) == ("Q1", 6, 2, 0.333, False)
@@ -126,9 +129,13 @@ def test_a_period_without_values(spark, n):
         assert got["more"]["drift_score"] is not None
 
 
-def test_no_shared_column(spark):
+def test_no_shared_column_and_unfit_tests(spark):
     with pytest.raises(ValueError):
         drift.drift_features(spark.createDataFrame([(1,)], "a int"), spark.createDataFrame([(1,)], "b int"))
+    text = spark.createDataFrame([("x",)], "a string")
+    for options in ({"text": "wasserstein"}, {"text": "none"}, {"methods": {"b": "chi_square"}}):
+        with pytest.raises(ValueError):
+            drift.drift_features(text, text, **options)
 
 
 def test_ks_p_value_near_one(spark):

@@ -10,8 +10,6 @@ import __spark_entry__ as driver
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
-# The SQL of these spells out the test that the data size calls for at the check's scale, not here.
-AT_LARGER_SCALE = {"drift_features", "drift_summary"}
 
 
 @pytest.fixture(scope="module")
@@ -38,7 +36,7 @@ def test_every_oracle_has_a_query():
     assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", [n for n in driver.oracle_sql() if n not in AT_LARGER_SCALE])
+@pytest.mark.parametrize("name", list(driver.oracle_sql()))
 def test_query_equals_sql(spark, duck, name):
     df = driver.queries()[name](spark, FOLDER)
     cursor = duck.execute(driver.oracle_sql()[name])

@@ -66,6 +66,8 @@ def test_domain_contract(spark):
     rules = {"gender": ["M", "F"], "has_malnutrition": [0, 1]}
     got = {(r["column_name"], r["value"], r["n"]) for r in quality.domain_violations(df, rules).collect()}
     assert got == {("gender", "X", 1), ("gender", None, 1), ("has_malnutrition", "2", 1)}
+    decimals = df.withColumn("has_malnutrition", F.col("has_malnutrition").cast("double"))
+    assert [r["value"] for r in quality.domain_violations(decimals, {"has_malnutrition": [0, 1]}).collect()] == ["2.0"]
     allowed = spark.createDataFrame([("M",), ("F",)], "gender string")
     assert {r[0] for r in quality.unexpected_values(df, "gender", allowed).collect()} == {"X", None}
     with pytest.raises(ValueError):

@@ -51,6 +51,19 @@ def test_salted_rows_spread_over_tasks(spark, skewed):
     assert parts > 4
 
 
+def test_many_hot_keys_and_missing_keys(spark):
+    many = spark.range(20_000).select((F.col("id") % 5000).alias("k"), "id")
+    assert hot_keys(many, "k", rows_per_task=2, fraction=1.0).count() == 5000
+    half = spark.range(2000).select(F.when(F.col("id") % 2 == 0, F.col("id") % 700).alias("k"), "id")
+    hot = {r["k"]: r["_salts"] for r in hot_keys(half, "k", **EVERY).collect()}
+    assert hot == {None: 10}
+    right = spark.range(400).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    right = right.unionByName(spark.createDataFrame([(None, 2)], "k long, v int"))
+    for how in ("left", "inner"):
+        got = salted_join(half, right, "k", how, **EVERY).select("k", "id", "v")
+        assert rows(got) == rows(half.join(right, "k", how).select("k", "id", "v"))
+
+
 def test_salted_star_and_other_kinds(spark, skewed):
     a = spark.range(400).select(F.col("id").alias("k"), F.lit("a").alias("a"))
     b = spark.range(5, 8).select(F.col("id").alias("k"), F.lit("b").alias("b"))
