@@ -52,4 +52,53 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid)
 """
 
-ORACLES = {"op3_mixing": OP3, "op4_decontamination": OP4}
+OP12 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+usable AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, c -> c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(e, c -> c <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+counted AS (SELECT a, count(*) AS n_links FROM links GROUP BY a),
+least_id AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(least_id.b, vec_id)) AS component_id,
+       vec_id <= coalesce(least_id.b, vec_id) AS kept
+FROM v LEFT JOIN counted ON counted.a = vec_id LEFT JOIN least_id ON least_id.a = vec_id
+"""
+
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+marked AS (
+  SELECT part, (CASE WHEN len(words) < 50 THEN 1 ELSE 0 END)
+      + (CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END)
+      + (CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text) THEN 4 ELSE 0 END)
+      + (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END)
+      + (CASE WHEN min(doc_id) OVER (PARTITION BY text) < doc_id THEN 16 ELSE 0 END) AS mask,
+    coalesce((SELECT bool_or(quality = 1) FROM labels l WHERE l.doc_id = d.doc_id), false) AS good,
+    coalesce((SELECT bool_or(toxic = 1) FROM labels l WHERE l.doc_id = d.doc_id), false) AS toxic FROM d),
+masks AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM marked GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (
+  SELECT filter_order, CAST(s AS INTEGER) AS step, bits[s] AS bit, CAST(list_sum(bits[:s]) - bits[s] AS INTEGER) AS earlier
+  FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS s FROM orders)),
+counts AS (
+  SELECT part, filter_order, step, bit,
+    CAST(coalesce(sum(n) FILTER (mask & (earlier | bit) = 0), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (mask & earlier = 0 AND mask & bit > 0), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (mask & earlier > 0 AND mask & bit > 0), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (mask = bit), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (mask & earlier = 0 AND mask & bit > 0), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (mask & earlier = 0 AND mask & bit > 0), 0) AS BIGINT) AS toxic_lost
+  FROM masks, steps GROUP BY part, filter_order, step, bit)
+SELECT * EXCLUDE (bit), CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM counts
+"""
+
+ORACLES = {"op3_mixing": OP3, "op4_decontamination": OP4, "op12_embedding_dedup": OP12, "op13_filter_audit": OP13}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortica.llm import (
-    fuzzy_lines, language, licences, mixing, secrets, simhash, syncmers, token_files, winnowing, wordpiece)
+    filter_audit, fuzzy_lines, language, licences, mixing, near_vectors, secrets, simhash, syncmers, token_files, whitening,
+    winnowing, wordpiece)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -63,6 +64,18 @@ def op10_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     return fuzzy_lines.dedup(_table(spark, folder, "documents"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(_table(spark, folder, "embeddings"))
+
+
+def op12_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.near_duplicates(_table(spark, folder, "embeddings"))
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_licences, op2_syncmers, op3_mixing, op4_decontamination, op5_secrets, op6_language, op7_token_counts, op8_simhash,
-    op9_token_files, op10_fuzzy_lines)}
+    op9_token_files, op10_fuzzy_lines, op11_whitening, op12_embedding_dedup, op13_filter_audit)}

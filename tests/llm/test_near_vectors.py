@@ -1,0 +1,92 @@
+import math
+
+import numpy as np
+import pytest
+
+from cohortica.llm import near_vectors
+from cohortica.llm.queries import op12_embedding_dedup
+
+SCHEMA = "vec_id long, embedding array<float>, label int, id long, copies string"
+
+
+def brute(rows, least=0.98):
+    """All pairs, and a walk over them."""
+    def usable(v, label):
+        return label is not None and v and all(c is not None and math.isfinite(c) for c in v) and any(v)
+    units = [np.array(v, float) / np.linalg.norm(np.array(v, float)) if usable(v, l) else None for _, v, l in rows]
+    near = [[j for j in range(len(rows)) if j != i and units[i] is not None and units[j] is not None and rows[i][2] == rows[j][2]
+             and len(units[i]) == len(units[j]) and units[i] @ units[j] >= least] for i in range(len(rows))]
+    out = []
+    for i in range(len(rows)):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in near[todo.pop()]:
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        ids = [rows[j][0] for j in seen if rows[j][0] is not None]
+        low = min(ids) if ids else None
+        out.append((rows[i][0], len(near[i]), low, low is not None and rows[i][0] == low))
+    return sorted(out, key=str)
+
+
+def collected(df):
+    assert df.columns == ["vec_id", "n_links", "component_id", "kept"]
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def planted(seed, n=400, dims=16, groups=12):
+    """Random vectors, and chains and clouds of near ones around some of them."""
+    draw = np.random.default_rng(seed)
+    x = draw.standard_normal((n, dims))
+    for g in range(groups):
+        size = int(draw.integers(2, 25))
+        at = draw.choice(n, size, replace=False)
+        x[at] = draw.standard_normal(dims) + draw.uniform(0.005, 0.25) * draw.standard_normal((size, dims))
+    return [(i, [float(np.float32(c)) for c in v], int(draw.integers(0, 3))) for i, v in enumerate(x)]
+
+
+@pytest.mark.parametrize("settings", [{}, {"lists": 5, "block": 8}, {"lists": 40, "subspaces": 3, "codes": 4, "fit_vectors": 50}])
+def test_equals_brute_force(spark, settings):
+    rows = planted(len(settings))
+    want = brute(rows)
+    assert sum(r[1] for r in want) > 100
+    df = spark.createDataFrame([(*r, -1, "x") for r in rows], SCHEMA).repartition(5)
+    assert collected(near_vectors.near_duplicates(df, **settings)) == want
+
+
+def test_given_table(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()
+    assert collected(op12_embedding_dedup(spark, "/root/testdata/sf0.001")) == brute([(r["vec_id"], r["embedding"], r["label"]) for r in table])
+
+
+def test_odd_rows(spark):
+    v = [1.0, 2.0, 3.0, 4.0]
+    rows = [(5, v, 1), (3, v, 1), (3, v, 1), (7, [2.0, 4.0, 6.0, 8.0], 1), (None, v, 1), (2, v, 2), (1, v, None), (0, v, None),
+            (10, None, 1), (11, [], 1), (12, [0.0] * 4, 1), (13, [0.0, -0.0, 0.0, 0.0], 1), (14, [math.nan] * 4, 1),
+            (15, [1.0, None, 3.0, 4.0], 1), (16, [math.inf, 0.0, 0.0, 0.0], 1), (17, [1.0, 2.0], 1), (18, [1.0, 2.0], 1),
+            (19, [1.0, 2.0, 3.0, 4.0, 0.0], 1), (None, [-1.0, 0.0, 0.0, 0.0], 4), (None, [-1.0, -0.0, 0.0, 0.0], 4),
+            (None, None, None), (20, [1e-40, 0.0], 5), (21, [3e38, 0.0], 5), (22, [0.0, 1.0], 6), (23, [-0.0, 1.0], 6)]
+    df = spark.createDataFrame([(*r, 0, None) for r in rows], SCHEMA).repartition(4)
+    assert collected(near_vectors.near_duplicates(df)) == brute(rows)
+
+
+def test_empty_table(spark):
+    assert collected(near_vectors.near_duplicates(spark.createDataFrame([], SCHEMA))) == []
+
+
+def test_one_large_group_of_copies_and_of_near_ones(spark):
+    draw = np.random.default_rng(5)
+    centre = draw.standard_normal(32)
+    near = [(i, [float(np.float32(c)) for c in centre + 0.1 * draw.standard_normal(32)], 0) for i in range(300)]
+    copies = [(1000 + i, [float(c) for c in range(32)], 0) for i in range(300)]
+    df = spark.createDataFrame([(*r, 0, "") for r in near + copies], SCHEMA).repartition(6)
+    assert collected(near_vectors.near_duplicates(df, block=64)) == brute(near + copies)
+
+
+def test_search_lists_no_pairs(spark):
+    draw = np.random.default_rng(6)
+    rows = [(i, [float(c) for c in np.ones(8) + 0.01 * draw.standard_normal(8)], 0) for i in range(500)]
+    df = spark.createDataFrame([(*r, 0, "") for r in rows], SCHEMA)
+    out = collected(near_vectors.near_duplicates(df, block=100))
+    assert all(r[1] == 499 and r[2] == 0 for r in out)
