@@ -1,14 +1,15 @@
 """Token counts by a linear longest-match automaton.
 
 The vocabulary is a trie. Each node has a failure link, to where matching goes on after the longest tokens of
-its string are taken, and the number of tokens taken on the way. Walking a word's bytes then takes each
-byte once and adds counts; no piece is ever built.
+its string are taken, and the number of tokens taken on the way. Walking a word's symbols then takes each
+symbol once and adds counts; no piece is ever built. Pieces that may only end a word end in a symbol of their
+own, so they match nowhere else, and other pieces never reach a word's end.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import public_tokenizers
@@ -26,19 +27,30 @@ def _byte_of_symbol() -> dict[str, int]:
     return {**{chr(b): b for b in visible}, **{chr(256 + i): b for i, b in enumerate(hidden)}}
 
 
-def load_vocabulary(path: str) -> list[bytes]:
-    """The different pieces of a byte-level vocabulary file as bytes, without their word-end marks."""
+#: A byte that ends its word is the symbol so much above the byte.
+LAST = 256
+
+
+def symbols(word: bytes) -> tuple[int, ...]:
+    """The symbols of a word: its bytes, the last one marked."""
+    return (*word[:-1], word[-1] + LAST) if word else ()
+
+
+def load_vocabulary(path: str) -> list[tuple[int, ...]]:
+    """The pieces of a byte-level vocabulary file with word-end marks, as symbols."""
     of = _byte_of_symbol()
     with open(path, encoding="utf-8") as source:
         names = json.load(source)["model"]["vocab"]
-    return sorted({bytes(of[c] for c in n.removesuffix(WORD_END)) for n in names if n.removesuffix(WORD_END)})
+    inside = {tuple(of[c] for c in n) for n in names if not n.endswith(WORD_END) and set(n) <= set(of)}
+    closing = {symbols(bytes(of[c] for c in n.removesuffix(WORD_END))) for n in names if n.endswith(WORD_END)}
+    return sorted((inside | closing) - {()})
 
 
 class Automaton:
     """Greedy longest-match over `pieces`; a word that cannot be cut into pieces is one unknown token."""
 
-    def __init__(self, pieces: Iterable[bytes]):
-        pieces = set(pieces) - {b""}
+    def __init__(self, pieces: Iterable[Sequence[int]]):
+        pieces = {tuple(p) for p in pieces if len(p)}
         self.edges: list[dict[int, int]] = [{}]
         self.fail: list[int] = [-1]  # -1: nothing can be taken off
         self.pops: list[int] = [0]
@@ -70,7 +82,7 @@ class Automaton:
                 after += [(node, b, n) for b, n in self.edges[node].items()]
             level = after
 
-    def count(self, word: bytes) -> int:
+    def count(self, word: Sequence[int]) -> int:
         """Number of tokens of one word; 0 for the empty word."""
         edges, fail, pops = self.edges, self.fail, self.pops
         node = total = 0
@@ -106,7 +118,7 @@ def token_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vo
     """(doc_id, n_words, n_tokens, longest), one row per row of `docs`, from whole texts.
 
     Words are runs without ASCII white space, A-Z lower-cased; n_tokens sums their greedy longest-match
-    pieces and longest is the most tokens in one word. NULL and empty texts have 0 of each. Repeated rows
+    pieces, where a piece with a word-end mark ends its word and no other piece does, and longest is the most tokens in one word. NULL and empty texts have 0 of each. Repeated rows
     and ids each have their row; an empty table gives no rows; other columns are left alone. Each worker
     remembers up to about `cache` words, so memory is bounded.
     """
@@ -124,7 +136,7 @@ def token_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vo
                 if None in counts:
                     for i, word in enumerate(words):
                         if counts[i] is None:
-                            counts[i] = known[word] = automaton.count(word)
+                            counts[i] = known[word] = automaton.count(symbols(word))
                 sizes.append((len(words), sum(counts), max(counts, default=0)))
                 if len(known) > cache:
                     known.clear()
