@@ -352,3 +352,49 @@ ORACLES["top_runs"] = f"""with {_RUNS} select run_id, f1_score, recall from kept
 order by kept.f1_score desc nulls last, run_id limit 5"""
 ORACLES["run_params"] = f"with {_RUNS} {_params('runs')}"
 ORACLES["best_params"] = f"with {_RUNS} {_params('best')}"
+
+# --- models: what holds for every model
+_ORDERS = """frame as (select o_orderkey, o_custkey,
+    case when o_orderkey in (select l_orderkey from lineitem where {flag}) then 1 else 0 end as label from orders),
+  sided as (select label, row_number() over (partition by label order by md5(concat(cast(o_orderkey as varchar), ':42')), o_orderkey)
+      <= round(count(*) over (partition by label) * 0.2::double) as is_test, o_orderkey from frame)""".replace(
+    "{flag}", "l_returnflag ilike 'A%' or l_returnflag ilike 'R%'")
+ORACLES["gbt_score_facts"] = f"""with {_ORDERS}
+select label, is_test, count(*) as n, 0 as out_of_range, 0 as against_score from sided group by label, is_test"""
+ORACLES["gbt_metric_facts"] = f"""with {_ORDERS}
+select count(*) as n, true as accuracy, true as precision, true as recall, true as f1_score, true as roc_auc, true as better_than_chance
+from sided where is_test"""
+ORACLES["search_facts"] = f"""with {_ORDERS},
+folded as (select label, (row_number() over (partition by label order by md5(concat(cast(o_orderkey as varchar), ':42')), o_orderkey) - 1) % 3 as fold
+  from sided where not is_test)
+select label, cast(fold as int) as fold, count(*) as held_out, 64 as candidates from folded group by label, fold"""
+ORACLES["boosted_stump"] = f"""with {_ORDERS},
+facts as (
+  select f.label, l.lines, l.discount, length(c.c_mktsegment) as segment
+  from frame f left join customer c on c.c_custkey = f.o_custkey
+  left join (select l_orderkey, count(*) as lines, max(l_discount) as discount from lineitem group by l_orderkey) l on l.l_orderkey = f.o_orderkey),
+weights as (select count(*) / (2.0::double * count(*) filter (label = 0)) as w0, 3 * count(*) / (2.0::double * count(*) filter (label = 1)) as w1 from facts),
+start as (select (w1 * count(*) filter (label = 1)) / (w1 * count(*) filter (label = 1) + w0 * count(*) filter (label = 0)) as p
+  from facts, weights group by w0, w1),
+graded as (
+  select facts.*, case when label = 1 then w1 else w0 end * (p - label) as g, case when label = 1 then w1 else w0 end * p * (1 - p) as h
+  from facts, weights, start),
+cells as (
+  select 1 as place, 'lines' as feature, lines::double as v, g, h from graded
+  union all select 2, 'discount', discount::double, g, h from graded union all select 3, 'segment', segment::double, g, h from graded),
+total as (select sum(g) as g, sum(h) as h, count(*) as n from graded),
+cuts as (select place, feature, v, sum(g) as g, sum(h) as h, count(*) as n from cells where v is not null group by place, feature, v),
+below as (
+  select place, feature, v as cut, coalesce(sum(g) over w, 0) as lg, coalesce(sum(h) over w, 0) as lh, coalesce(sum(n) over w, 0) as ln
+  from cuts window w as (partition by feature order by v rows between unbounded preceding and 1 preceding)),
+gains as (
+  select *, pow(greatest(abs(lg) - 0.5, 0), 2) / (lh + 2) + pow(greatest(abs(total.g - lg) - 0.5, 0), 2) / (total.h - lh + 2)
+    - pow(greatest(abs(total.g) - 0.5, 0), 2) / (total.h + 2) as gain,
+    0.1 * -sign(lg) * greatest(abs(lg) - 0.5, 0) / (lh + 2) as left_value,
+    0.1 * -sign(total.g - lg) * greatest(abs(total.g - lg) - 0.5, 0) / (total.h - lh + 2) as right_value, total.n - ln as rn
+  from below, total where ln >= 30 and total.n - ln >= 30)
+select feature, cut, round(gain, 4) as gain, cast(ln as bigint) as left_n, cast(rn as bigint) as right_n,
+  round(left_value, 4) as left_value, round(right_value, 4) as right_value from gains order by gain desc, place, cut limit 1"""
+ORACLES["run_life_cycle"] = """
+select case o_orderstatus when 'F' then 'FINISHED' when 'O' then 'RUNNING' else 'FAILED' end as status, count(*) as runs,
+  count(*) filter (o_orderstatus <> 'O') as measured from orders group by all"""

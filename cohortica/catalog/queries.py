@@ -511,33 +511,98 @@ def _model_frame(spark, d):
             .drop("o_custkey"))
 
 
-QUICK = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3, "class_weight": "balanced"}
+SMALL = {"n_estimators": 10, "num_leaves": 15, "max_depth": -1, "learning_rate": 0.2, "class_weight": "balanced"}
+
+
+def _fitted(spark, d):
+    """(marked rows, model fitted on the rows that are not test rows)."""
+    marked = materialize(split.mark_test_rows(_model_frame(spark, d), "label", "o_orderkey"))
+    return marked, train.fit_classifier(marked.where("not is_test").drop("is_test", "o_orderkey"), SMALL, "label")
 
 
 @query
 def gbt_train_score(spark, d):
-    frame = _model_frame(spark, d)
-    marked = split.mark_test_rows(frame, "label", "o_orderkey")
-    fit_on = marked.where("not is_test").drop("is_test", "o_orderkey")
-    model = train.fit_classifier(fit_on, QUICK, "label")
+    marked, model = _fitted(spark, d)
     return train.score_rows(model, marked.where("is_test").drop("is_test")).select("o_orderkey", "label", "score", "prediction")
 
 
+@query
+def gbt_score_facts(spark, d):
+    """Rows per label and side of the split, and how many scored rows break what has to hold for every model."""
+    marked, model = _fitted(spark, d)
+    scored = train.score_rows(model, marked)
+    return scored.groupBy("label", "is_test").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("score").isNull() | (F.col("score") <= 0) | (F.col("score") >= 1)).alias("out_of_range"),
+        F.count_if(F.col("prediction") != (F.col("score") > 0.5).cast("int")).alias("against_score"))
+
+
+@query
+def gbt_metric_facts(spark, d):
+    """The metrics record against metrics counted from the scored rows; the model is to beat the better constant."""
+    marked, model = _fitted(spark, d)
+    scored = materialize(train.score_rows(model, marked.where("is_test").drop("is_test")))
+    record = metrics.binary_metrics(scored, "label", "prediction", "score")
+    again = metrics.binary_metrics_by(scored.withColumn("m", F.lit(0)), "m", "label", "prediction", "score")
+    names = [(F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) <= 0.00005001).alias(c) for c in fixed.METRIC_NAMES]
+    rows = scored.agg(F.count(F.lit(1)).alias("n"))
+    return record.alias("a").join(again.alias("b"), F.lit(True)).join(rows, F.lit(True)).select(
+        "n", *names, (F.col("a.roc_auc") > 0.5).alias("better_than_chance"))
+
+
 @query
 def gbt_evaluate(spark, d):
-    return train.train_model(_model_frame(spark, d), "o_orderkey", QUICK, "label")[1]
+    return train.train_model(_model_frame(spark, d), "o_orderkey", SMALL, "label")[1]
 
 
 @query
 def feature_importance(spark, d):
-    model = train.fit_classifier(_model_frame(spark, d).drop("o_orderkey"), QUICK, "label")
+    model = train.fit_classifier(_model_frame(spark, d).drop("o_orderkey"), SMALL, "label")
     return train.feature_importance(model)
 
 
+STUMP = {"n_estimators": 1, "num_leaves": 2, "max_depth": -1, "learning_rate": 0.1, "min_child_samples": 30, "reg_alpha": 0.5,
+         "reg_lambda": 2.0, "class_weight": "balanced", "scale_pos_weight": 3.0}
+
+
+@query
+def boosted_stump(spark, d):
+    """The first split of the first tree with both leaves: what regularised gain and leaf values come to."""
+    frame = _model_frame(spark, d).select("label", "lines", "discount", F.length("c_mktsegment").alias("segment"))
+    model = train.fit_classifier(frame, STUMP, "label")
+    nodes, binning = model.nodes(), model.binning
+    root = nodes.where("left >= 0").alias("root")
+    side = lambda name: nodes.select(F.col("node").alias(name), F.col("n").alias(f"{name}_n"), F.col("value").alias(f"{name}_value"))
+    names = F.array(*[F.lit(c) for c in binning.features])
+    cuts = F.array(*[F.array(*[F.lit(v) for v in binning.cuts[c]]) for c in binning.features])
+    return _rounded(root.join(F.broadcast(side("left")), "left").join(F.broadcast(side("right")), "right").select(
+        F.get(names, F.col("feature")).alias("feature"), F.get(F.get(cuts, F.col("feature")), F.col("cut") - 1).alias("cut"),
+        "gain", "left_n", "right_n", "left_value", "right_value"))
+
+
 @query
 def random_search(spark, d):
-    space = {"n_estimators": [2, 3], "max_depth": [2, 3], "learning_rate": [0.1, 0.3], "class_weight": [None, "balanced"]}
-    log = train.random_search(_model_frame(spark, d), "o_orderkey", space=space, n_iter=2, folds=2, label="label",
-                              parallelism=4)[2]
+    """All 64 candidates on three folds, of the whole searched space but for the number of trees."""
+    space = {**fixed.SEARCH_SPACE, "n_estimators": [1, 2]}
+    log = train.random_search(_model_frame(spark, d), "o_orderkey", space=space, label="label", parallelism=64)[2]
     tried = log.withColumn("run_id", F.try_element_at("tags", F.lit("search_iteration")))
     return runs.run_metrics(tried).withColumnRenamed("run_id", "iteration")
+
+
+@query
+def search_facts(spark, d):
+    """How many rows the folds of the search hold per label, learned from and held out, and the distinct candidates."""
+    marked = split.mark_test_rows(_model_frame(spark, d), "label", "o_orderkey").where("not is_test").drop("is_test")
+    folded = split.stratified_folds(marked, "label", "o_orderkey")
+    drawn = train.draw_candidates(fixed.SEARCH_SPACE, fixed.SEARCH_ITERATIONS)
+    different = len({tuple(sorted((k, str(v)) for k, v in c.items())) for c in drawn})
+    return folded.groupBy("label", "fold").agg(F.count(F.lit(1)).alias("held_out")).withColumn("candidates", F.lit(different))
+
+
+@query
+def run_life_cycle(spark, d):
+    """Orders as runs that log RUNNING when they are placed and their end a day later; the latest state of each."""
+    orders = _runs(spark, d).withColumn("ts", F.lit("2024-01-01").cast("timestamp"))
+    begun = orders.withColumns({"status": F.lit("RUNNING"), "metrics": F.create_map().cast("map<string,double>")})
+    ended = orders.where("status <> 'RUNNING'").withColumn("ts", F.col("ts") + F.expr("interval 1 day"))
+    return runs.latest_runs(begun.unionByName(ended)).groupBy("status").agg(
+        F.count(F.lit(1)).alias("runs"), F.count_if(F.size("metrics") > 0).alias("measured"))
