@@ -384,17 +384,23 @@ cells as (
   union all select 2, 'discount', discount::double, g, h from graded union all select 3, 'segment', segment::double, g, h from graded),
 total as (select sum(g) as g, sum(h) as h, count(*) as n from graded),
 cuts as (select place, feature, v, sum(g) as g, sum(h) as h, count(*) as n from cells where v is not null group by place, feature, v),
+missing as (select feature, sum(g) as mg, sum(h) as mh, count(*) as mn from cells where v is null group by feature),
 below as (
   select place, feature, v as cut, coalesce(sum(g) over w, 0) as lg, coalesce(sum(h) over w, 0) as lh, coalesce(sum(n) over w, 0) as ln
-  from cuts window w as (partition by feature order by v rows between unbounded preceding and 1 preceding)),
+  from cuts window w as (partition by feature order by v rows between unbounded preceding and 1 preceding)
+  union all select place, feature, null, sum(g), sum(h), sum(n) from cuts group by place, feature),
+sides as (  -- missing values go to the side that gains more
+  select place, feature, cut, side, lg + side * coalesce(mg, 0) as lg, lh + side * coalesce(mh, 0) as lh, ln + side * coalesce(mn, 0) as ln
+  from below left join missing using (feature), (select unnest([0, 1]) as side)),
 gains as (
   select *, pow(greatest(abs(lg) - 0.5, 0), 2) / (lh + 2) + pow(greatest(abs(total.g - lg) - 0.5, 0), 2) / (total.h - lh + 2)
     - pow(greatest(abs(total.g) - 0.5, 0), 2) / (total.h + 2) as gain,
     0.1 * -sign(lg) * greatest(abs(lg) - 0.5, 0) / (lh + 2) as left_value,
     0.1 * -sign(total.g - lg) * greatest(abs(total.g - lg) - 0.5, 0) / (total.h - lh + 2) as right_value, total.n - ln as rn
-  from below, total where ln >= 30 and total.n - ln >= 30)
+  from sides, total where ln >= 30 and total.n - ln >= 30)
 select feature, cut, round(gain, 4) as gain, cast(ln as bigint) as left_n, cast(rn as bigint) as right_n,
-  round(left_value, 4) as left_value, round(right_value, 4) as right_value from gains order by gain desc, place, cut limit 1"""
+  round(left_value, 4) as left_value, round(right_value, 4) as right_value
+from gains order by gains.gain desc, place, cut nulls last, side limit 1"""
 ORACLES["run_life_cycle"] = """
 select case o_orderstatus when 'F' then 'FINISHED' when 'O' then 'RUNNING' else 'FAILED' end as status, count(*) as runs,
   count(*) filter (o_orderstatus <> 'O') as measured from orders group by all"""
