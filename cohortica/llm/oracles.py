@@ -56,8 +56,8 @@ OP12 = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 usable AS (
-  SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, c -> c IS NULL OR NOT isfinite(c))) = 0
-    AND len(list_filter(e, c -> c <> 0)) > 0),
+  SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len([c for c in e if c IS NULL OR NOT isfinite(c)]) = 0
+    AND len([c for c in e if c <> 0]) > 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
     ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
