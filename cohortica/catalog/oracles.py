@@ -214,6 +214,10 @@ _RANKED = """ranked as (select o_orderkey, o_orderstatus, count(*) over (partiti
   row_number() over (partition by o_orderstatus order by md5(concat(cast(o_orderkey as varchar), ':42')), o_orderkey) as rn from orders)"""
 ORACLES["stratified_split"] = f"with {_RANKED} select o_orderkey, o_orderstatus, rn <= round(n * 0.2::double) as is_test from ranked"
 ORACLES["stratified_folds"] = f"with {_RANKED} select o_orderkey, o_orderstatus, cast((rn - 1) % 3 as int) as fold from ranked"
+ORACLES["split_without_keys"] = f"""with {_RANKED}
+select o_orderstatus, rn <= round(n * 0.2::double) as is_test, count(*) as n from ranked group by all"""
+ORACLES["folds_without_keys"] = f"""with {_RANKED}
+select o_orderstatus, cast((rn - 1) % 3 as int) as fold, count(*) as n from ranked group by all"""
 ORACLES["class_weights"] = """
 select l_returnflag, count(*) as n, round((select count(*) from lineitem) / ((select count(distinct l_returnflag) from lineitem) * count(*))::double, 4) as weight
 from lineitem group by l_returnflag"""

@@ -318,6 +318,24 @@ def stratified_folds(spark, d):
     return split.stratified_folds(read(spark, d, "orders").select("o_orderkey", "o_orderstatus"), "o_orderstatus", "o_orderkey")
 
 
+def _half_keyed(spark, d):
+    """Orders of which every second one has lost its key."""
+    orders = read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    return orders.withColumn("key", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey")))
+
+
+@query
+def split_without_keys(spark, d):
+    marked = split.mark_test_rows(_half_keyed(spark, d), "o_orderstatus", "key")
+    return marked.groupBy("o_orderstatus", "is_test").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def folds_without_keys(spark, d):
+    folded = split.stratified_folds(_half_keyed(spark, d), "o_orderstatus", "key")
+    return folded.groupBy("o_orderstatus", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def class_weights(spark, d):
     return _rounded(split.class_weights(read(spark, d, "lineitem"), "l_returnflag"))
