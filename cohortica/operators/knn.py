@@ -9,7 +9,8 @@ How the work is spread:
 1. Donors with the same coordinates are at the same distance from everybody, so only the first k
    of them (by tie-break) can matter. Receivers with the same coordinates get the same answer.
    Both sides shrink to distinct points before any distance is computed.
-2. Donor space is cut into boxes along medians of a bounded sample. The k-th nearest sample point
+2. Donor space is cut into boxes along medians of a sample, and boxes that hold too many donors are
+   cut again by a sample of their own, until all fit. The k-th nearest sample point
    in a receiver's own box bounds its true k-th distance, so only boxes within that bound can
    hold one of its neighbours.
 3. Receivers are sent to those boxes and meet the donors there; each box returns at most k
@@ -37,7 +38,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BOX_POINTS = 4000
 BOX_SAMPLE = 64
-MAX_SAMPLE = 1_000_000
+#: Points that one round of fitting boxes brings to the driver.
+SAMPLE_LIMIT = 1_000_000
 CHUNK_RECEIVERS = 50_000
 _BLOCK = 2_000_000
 _DIGITS = 9
@@ -198,8 +200,88 @@ def _donor_points(pool: DataFrame, spaces: list[tuple], zs: list[str], k: int) -
     return points.withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= k).drop("rn")
 
 
+def _in_boxes(points: DataFrame, zs: list[str], trees) -> DataFrame:
+    """Donor points with the number of their box; `trees` is a broadcast of the trees by space."""
+
+    def place(batches):
+        for batch in batches:
+            for space, rows in batch.groupby("space"):
+                yield rows.assign(box=_Boxes(*trees.value[space]).own_boxes(rows[zs].to_numpy(dtype=float)))
+
+    z_ddl = ", ".join(f"{z} double" for z in zs)
+    return points.mapInPandas(place, f"space int, {z_ddl}, tie double, y double, box int")
+
+
+def _graft(tree: tuple, box: int, got: np.ndarray, nodes: list[tuple]) -> tuple:
+    """The tree with box `box` replaced by `nodes`, a subtree over the sample `got`; its first box keeps the number."""
+    points, old, *rest = tree
+    at = next(i for i, (d, _, number, _) in enumerate(old) if d is None and number == box)
+    boxes = sum(d is None for d, *_ in old)
+    shift, put = len(points), lambda n: at if n == 0 else len(old) + n - 1
+    moved = [(None, members + shift, box if left == 0 else boxes + left - 1, None) if d is None else (d, members, put(left), put(right))
+             for d, members, left, right in nodes]
+    return np.concatenate((points, got)), [*old[:at], moved[0], *old[at + 1:], *moved[1:]], *rest
+
+
+def _fit_boxes(points: DataFrame, spaces: list[tuple], zs: list[str], k: int, box_points: int, sample_limit: int) -> dict[int, tuple]:
+    """A tree of boxes for every space, none with more than 2 * `box_points` donors if its points can be told apart.
+
+    The first trees come from a sample of all donors. Boxes that turn out too full are split again by a sample
+    of their own donors, round by round; a round brings about `sample_limit` points to the driver, so the limit sets
+    the number of rounds and not the number of boxes. A box whose sample is all one place is sampled more densely
+    the next time, equal points counting once.
+    """
+    context = points.sparkSession.sparkContext
+    extent = [f(z).alias(f"{n}{z}") for z in zs for f, n in ((F.min, "low_"), (F.max, "high_"))]
+    known = {r["space"]: r for r in points.groupBy("space").agg(F.count(F.lit(1)).alias("count"), *extent).collect()}
+    sizes = {i: r["count"] for i, r in known.items()}
+    most = max(sample_limit // len(sizes), 4 * k)
+    shares = {i: min(1.0, min(most, max(4 * BOX_SAMPLE, BOX_SAMPLE * n // box_points)) / n) for i, n in sizes.items()}
+    sample = points.sampleBy("space", shares, seed=11).select("space", *zs).toPandas().drop_duplicates()
+    trees = {}
+    for i, (_, _, share) in enumerate(spaces):
+        got = sample.loc[sample["space"] == i, zs].to_numpy(dtype=float)
+        capacity = BOX_SAMPLE if sizes[i] > box_points else 2 * len(got) + 2 * k
+        low, high = (np.array([known[i][f"{n}{z}"] for z in zs]) for n in ("low_", "high_"))
+        trees[i] = (got, _split_points(got, _members(share, len(zs)), k, capacity), low, high, k)
+    wider: dict[tuple[int, int], int] = {}  # boxes that a sample could not split: how much more to take
+    whole = set()  # boxes that all their points cannot split
+    seed = 11
+    while True:
+        shared = context.broadcast(trees)
+        placed = _in_boxes(points, zs, shared)
+        full = [(r["space"], r["box"], r["count"]) for r in placed.groupBy("space", "box").count()
+                .where(F.col("count") > 2 * box_points).collect() if (r["space"], r["box"]) not in whole]
+        if not full:
+            return trees
+        taken, left = {}, sample_limit
+        for space, box, n in sorted(full, key=lambda f: -f[2]):
+            more = wider.get((space, box), 1)
+            want = max(4 * k, BOX_SAMPLE * n // box_points)
+            if taken and want > left:
+                continue
+            taken[space, box] = min(1.0, max(min(want, left), 4 * k) * more / n)
+            left -= want
+        seed += 1
+        chosen = points.sparkSession.createDataFrame([(*at, share) for at, share in taken.items()], "space int, box int, share double")
+        draw = F.pmod(F.xxhash64(F.lit(seed), *zs), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        sample = (placed.join(F.broadcast(chosen), ["space", "box"]).where(draw < F.col("share"))
+                  .select("space", "box", *zs).distinct().toPandas())
+        for (space, box), share in taken.items():
+            got = sample.loc[(sample["space"] == space) & (sample["box"] == box), zs].to_numpy(dtype=float)
+            capacity = max(2 * k, round(box_points * share))
+            nodes = _split_points(got, _members(spaces[space][2], len(zs)), k, capacity)
+            if len(nodes) > 1:
+                trees[space] = _graft(trees[space], box, got, nodes)
+                wider.pop((space, box), None)
+            elif share >= 1.0:
+                whole.add((space, box))
+            else:
+                wider[space, box] = 4 * wider.get((space, box), 1)
+
+
 def _nearest_values(receivers: DataFrame, pool: DataFrame, width: int, targets: list[int], k: int,
-                    box_points: int, chunk_receivers: int) -> DataFrame | None:
+                    box_points: int, chunk_receivers: int, sample_limit: int) -> DataFrame | None:
     """(t, mask, z..., value): the imputed value of target t for each distinct receiver point."""
     spark = receivers.sparkSession
     zs = [f"z{i}" for i in range(width)]
@@ -211,20 +293,7 @@ def _nearest_values(receivers: DataFrame, pool: DataFrame, width: int, targets:
         return None
     points = materialize(_donor_points(pool, spaces, zs, k))
 
-    # Boxes from a bounded sample; its size follows the number of donor points.
-    extent = [f(z).alias(f"{n}{z}") for z in zs for f, n in ((F.min, "low_"), (F.max, "high_"))]
-    known = {r["space"]: r for r in points.groupBy("space").agg(F.count(F.lit(1)).alias("count"), *extent).collect()}
-    sizes = {i: r["count"] for i, r in known.items()}
-    most = MAX_SAMPLE // len(sizes)
-    shares = {i: min(1.0, min(most, max(4 * BOX_SAMPLE, BOX_SAMPLE * n // box_points)) / n)
-              for i, n in sizes.items()}
-    sample = points.sampleBy("space", shares, seed=11).select("space", *zs).toPandas().drop_duplicates()
-    trees = {}
-    for i, (_, _, share) in enumerate(spaces):
-        got = sample.loc[sample["space"] == i, zs].to_numpy(dtype=float)
-        capacity = BOX_SAMPLE if sizes[i] > box_points else 2 * len(got) + 2 * k
-        low, high = (np.array([known[i][f"{n}{z}"] for z in zs]) for n in ("low_", "high_"))
-        trees[i] = (got, _split_points(got, _members(share, width), k, capacity), low, high, k)
+    trees = _fit_boxes(points, spaces, zs, k, box_points, sample_limit)
     shared_trees = spark.sparkContext.broadcast(trees)
 
     def project(space, z):
@@ -234,11 +303,6 @@ def _nearest_values(receivers: DataFrame, pool: DataFrame, width: int, targets:
         inside[_members(share, width)] = 1.0
         return z * inside, float(np.sqrt(width / bin(share).count("1")))
 
-    def place_donors(batches):
-        for batch in batches:
-            for space, rows in batch.groupby("space"):
-                yield rows.assign(box=_Boxes(*shared_trees.value[space]).own_boxes(rows[zs].to_numpy(dtype=float)))
-
     def place_receivers(batches):
         for batch in batches:
             for mask, rows in batch.groupby("mask"):
@@ -255,7 +319,7 @@ def _nearest_values(receivers: DataFrame, pool: DataFrame, width: int, targets:
                         yield rows.iloc[row].assign(t=target, space=i, box=box, radius=bound[row])
 
     z_ddl = ", ".join(f"{z} double" for z in zs)
-    placed = points.mapInPandas(place_donors, f"space int, {z_ddl}, tie double, y double, box int")
+    placed = _in_boxes(points, zs, shared_trees)
     asked = materialize(receivers.select("mask", *zs).mapInPandas(
         place_receivers, f"mask int, {z_ddl}, t int, space int, box int, radius double"))
 
@@ -301,7 +365,8 @@ def points_of(df: DataFrame, features: list[str], stats: dict) -> DataFrame:
 
 def knn_impute(df: DataFrame, donors: DataFrame, features: list[str], targets: list[str],
                stats: dict[str, tuple[float, float]], k: int = 5, tie_break: str | None = None,
-               box_points: int = BOX_POINTS, chunk_receivers: int = CHUNK_RECEIVERS) -> DataFrame:
+               box_points: int = BOX_POINTS, chunk_receivers: int = CHUNK_RECEIVERS,
+               sample_limit: int = SAMPLE_LIMIT) -> DataFrame:
     """Fill missing targets of `df` from the donors; observed values stay as they are.
 
     `tie_break` is a numeric donor column that settles equal distances (default: the donor's
@@ -317,7 +382,7 @@ def knn_impute(df: DataFrame, donors: DataFrame, features: list[str], targets: l
     points = materialize(gaps.select("mask", *zs).distinct())
 
     places = {t: features.index(t) for t in targets}
-    answers = _nearest_values(points, pool, width, list(places.values()), k, box_points, chunk_receivers)
+    answers = _nearest_values(points, pool, width, list(places.values()), k, box_points, chunk_receivers, sample_limit)
     if answers is None:
         filled = gaps.withColumns({f"_new_{t}": F.lit(None).cast("double") for t in targets})
     else:

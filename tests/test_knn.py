@@ -4,7 +4,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from cohortica.operators.knn import _Boxes, _split_points, distances, knn_impute
+from cohortica.operators import knn
+from cohortica.operators.knn import BOX_SAMPLE, _Boxes, _split_points, distances, knn_impute
 from cohortica.operators.scale import fit_scaler
 
 FEATURES = ["a", "b", "c"]
@@ -109,3 +110,30 @@ def test_boxes_partition_the_points():
     assert len(rows) < 0.6 * 50 * (own.max() + 1)
     far = np.full((1, 3), 50.0)  # a point far outside still meets only the boxes on its side
     assert len(boxes.touched(far, boxes.bounds(far))[0]) < (own.max() + 1) / 2
+
+
+@pytest.mark.parametrize("limit", [400, 1_000_000])
+def test_full_boxes_are_split_until_all_fit(spark, limit):
+    rng = np.random.default_rng(4)
+    tight = rng.normal(size=(500, 2)) * 1e-6 + 5  # a sample of all points sees this corner as one place
+    z = np.concatenate((rng.normal(size=(300, 2)), tight, np.zeros((100, 2)), np.c_[rng.normal(size=100), np.ones(100)]))
+    donors = pd.DataFrame({"space": 0, "z0": z[:, 0], "z1": z[:, 1], "tie": np.arange(float(len(z))), "y": 1.0}).astype({"space": "int32"})
+    points = spark.createDataFrame(donors, "space int, z0 double, z1 double, tie double, y double").repartition(3)
+    trees = knn._fit_boxes(points, [(0, 0, 3)], ["z0", "z1"], 5, 40, limit)
+    boxes = _Boxes(*trees[0])
+    own = boxes.own_boxes(z)
+    sizes = np.bincount(own)
+    equal = own[800]  # a hundred equal points cannot be told apart
+    assert np.delete(sizes, equal).max() <= 80 and sizes[equal] >= 100
+    assert len(boxes.points) < 12 * BOX_SAMPLE * len(z) / 40
+    numbers = sorted(n[2] for n in trees[0][1] if n[0] is None)
+    assert numbers == list(range(len(numbers)))
+    found = boxes.touched(z[:50], np.full(50, 0.5))
+    near = {(r, own[j]) for r in range(50) for j in np.flatnonzero(np.sqrt(((z - z[r]) ** 2).sum(1)) <= 0.5)}
+    assert near <= set(zip(*(c.tolist() for c in found)))
+
+
+def test_small_sample_limit_equals_brute_force(spark):
+    got, want = run(spark, frame(200, 7), ["b", "c"], box_points=15, sample_limit=2000)
+    for c in ["b", "c"]:
+        np.testing.assert_allclose(got[c].to_numpy(float), want[c].to_numpy(float), rtol=1e-9)
