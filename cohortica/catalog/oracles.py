@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+from cohortica import fixed
 from cohortica.catalog.clinical import clinical_sql
 
 _GAPS = ("lines as (select l_returnflag, l_linestatus, l_quantity, nullif(l_discount, 0) as l_discount, "
          "nullif(l_tax, 0) as l_tax from lineitem)")
-_MODEL_COLUMNS = ["has_malnutrition", "age", "gender", "race", "marital_status", "height_cm", "weight_kg", "bmi",
-                  "glucose_admit", "hematocrit_admit", "hemoglobin_admit", "potassium_admit", "systolic", "diastolic",
-                  "admission_type", "admission_location", "alk_phos_ordered", "ast_ordered"]
+_MODEL_COLUMNS = fixed.FEATURES_TO_USE
 _DOUBLES = {"height_cm", "weight_kg", "bmi", "glucose_admit", "hematocrit_admit", "hemoglobin_admit",
             "potassium_admit", "systolic", "diastolic"}
 _ROUNDED = ", ".join(f"round({c}, 4) as {c}" if c in _DOUBLES else c for c in _MODEL_COLUMNS)
@@ -315,8 +314,11 @@ ORACLES["drift_chi2"] = f"""with {_PERIODS}, {_CAT}, {_CHI} select feature, roun
   round(case when new_values > 0 then 0 else exp(-statistic / 2) * (1 + statistic / 2) end, 4) as p_value from chi"""
 ORACLES["drift_prop_z"] = f"""
 with {_PERIODS}, c as (select count(*) filter (where is_ref and event_type <> 'error')::double as x, count(*) filter (where is_ref)::double as n,
-  count(*) filter (where not is_ref and event_type <> 'error')::double as y, count(*) filter (where not is_ref)::double as m from ev)
-select 'is_error' as feature, round((x / n - y / m) / sqrt((x + y) / (n + m) * (1 - (x + y) / (n + m)) * (1 / n + 1 / m)), 4) as z from c"""
+  count(*) filter (where not is_ref and event_type <> 'error')::double as y, count(*) filter (where not is_ref)::double as m from ev),
+zs as (select (x / n - y / m) / sqrt((x + y) / (n + m) * (1 - (x + y) / (n + m)) * (1 / n + 1 / m)) as z from c),
+t as (select z, least(abs(z), 6) / sqrt(2::double) as x from zs)
+select 'is_error' as feature, round(z, 4) as z, round(greatest(0, 1 - 2 / sqrt(pi()) * list_sum(
+  [pow(-1, i) * pow(x, 2 * i + 1) / (gamma(i + 1::double) * (2 * i + 1)) for i in range(0, 100)])), 4) as p_value from t"""
 _FEATURES = f"""{_PERIODS}, {_NUM}, {_W1}, {_CAT}, {_js('cat')},
 features as (select feature, 'wasserstein' as method, 0.1::double as threshold, round(distance, 4) as drift_score, distance >= 0.1 as drifted from w1
   union all select feature, 'jensen_shannon', 0.1::double, round(distance, 4), distance >= 0.1 from js)"""

@@ -453,8 +453,7 @@ def drift_prop_z(spark, d):
     def two_valued(df):
         return df.select((F.col("event_type") == "error").cast("string").alias("is_error"))
     before, after = _periods(spark, d)
-    return _rounded(drift.proportion_z(drift.side_counts(two_valued(before), two_valued(after), ["is_error"], "string"))
-                    .select("feature", "z"))
+    return _rounded(drift.proportion_z(drift.side_counts(two_valued(before), two_valued(after), ["is_error"], "string")))
 
 
 @query

@@ -2,16 +2,8 @@
 
 from __future__ import annotations
 
-import math
-import sys
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 
-# Send these functions to the workers themselves, so the package need not be installed there.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 
 def kolmogorov_tail(distance: Column, n_a: Column, n_b: Column, terms: int = 20) -> Column:
     """Asymptotic two-sample Kolmogorov-Smirnov p-value, as an alternating series.
@@ -30,35 +22,44 @@ def kolmogorov_tail(distance: Column, n_a: Column, n_b: Column, terms: int = 20)
     return F.when(rate > -0.08, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * series)))
 
 
-def _chi_square_tail(statistic: float, degrees: float) -> float:
-    """P(X >= statistic): finite sum from the one- or two-degree case up by steps of two."""
-    if statistic is None or degrees is None or math.isnan(statistic) or degrees < 1:
-        return float("nan")
-    if statistic <= 0:
-        return 1.0
-    half = statistic / 2.0
-    if int(degrees) % 2:
-        total, shape = math.erfc(math.sqrt(half)), 0.5
-    else:
-        total, shape = math.exp(-half), 1.0
-    while shape < degrees / 2.0:
-        total += math.exp(shape * math.log(half) - half - math.lgamma(shape + 1.0))
-        shape += 1.0
-    return min(1.0, total)
+def _log_gamma(z: Column) -> Column:
+    """ln of the gamma function for z > 0: Stirling's series ten places up, less the logarithm of the way there."""
+    far = z + 10.0
+    series = (far - 0.5) * F.ln(far) - far + 0.9189385332046728 \
+        + 1 / (12 * far) - 1 / (360 * far ** 3) + 1 / (1260 * far ** 5) - 1 / (1680 * far ** 7)
+    return series - F.aggregate(F.sequence(F.lit(0), F.lit(9)), F.lit(0.0), lambda total, i: total + F.ln(z + i))
 
 
-def _chi_square_batch(statistic: pd.Series, degrees: pd.Series) -> pd.Series:
-    return pd.Series([_chi_square_tail(s, d) for s, d in zip(statistic, degrees)], dtype="float64")
+def _upper_gamma(a: Column, x: Column) -> Column:
+    """Regularized upper incomplete gamma function: a power series left of a + 1, a continued fraction right of it.
+
+    Either converges in a number of steps that grows with the root of `a`.
+    """
+    steps = F.sequence(F.lit(1), (F.lit(100) + 10 * F.sqrt(a)).cast("int"))
+    front = F.exp(a * F.ln(x) - x - _log_gamma(a + 1.0))
+    one = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+    series = F.aggregate(steps, one, lambda s, i: F.struct(
+        (s["term"] * x / (a + i)).alias("term"), (s["total"] + s["term"] * x / (a + i)).alias("total")), lambda s: s["total"])
 
+    def fraction(s: Column, i: Column) -> Column:  # the next partial quotient, front to back
+        over, under = i * (a - i), x + 1.0 - a + 2.0 * i
+        up, down = under + over / s["up"], 1.0 / (under + over * s["down"])
+        return F.struct(up.alias("up"), down.alias("down"), (s["value"] * up * down).alias("value"))
 
-def _normal_batch(z: pd.Series) -> pd.Series:
-    return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2.0)), na_action="ignore")
+    start = F.greatest(x + 1.0 - a, F.lit(1.0))  # at least 2 wherever the fraction is used
+    first = F.struct(F.lit(1e300).alias("up"), (1.0 / start).alias("down"), (1.0 / start).alias("value"))
+    right = F.aggregate(steps, first, fraction, lambda s: s["value"])
+    return F.when(x < a + 1.0, 1.0 - front * series).otherwise(front * a * right)
 
 
 def chi_square_tail(statistic: Column, degrees: Column) -> Column:
-    p = F.pandas_udf(_chi_square_batch, "double")(statistic.cast("double"), degrees.cast("double"))
-    return F.when(~F.isnan(p), p)
+    """P(X >= statistic), in columns; NULL without a statistic or a degree of freedom."""
+    x, a = statistic.cast("double") / 2.0, degrees.cast("double") / 2.0
+    known = x.isNotNull() & ~F.isnan(x) & (a >= 0.5)
+    tail = F.least(F.lit(1.0), F.greatest(F.lit(0.0), _upper_gamma(a, x)))
+    return F.when(known, F.when(x <= 0, 1.0).otherwise(tail))
 
 
 def normal_two_sided_tail(z: Column) -> Column:
-    return F.pandas_udf(_normal_batch, "double")(z.cast("double"))
+    """P(|Z| >= |z|): the square of a normal value has the chi-square distribution of one degree."""
+    return chi_square_tail(z.cast("double") * z.cast("double"), F.lit(1))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from cohortica import fixed
 from cohortica.operators.clean import nulls_for_nans
-from cohortica.operators.running import running_totals
+from cohortica.operators.running import materialize, running_totals
+from cohortica.operators.skew import lookup_join
 
 
 def _quoted(name: str):
@@ -18,23 +19,25 @@ def _quoted(name: str):
 def check_data_quality(df: DataFrame, numeric_columns: list[str]) -> DataFrame:
     """One row: row count, nulls, null share of all cells (percent), repeated rows, ranges.
 
-    Equal rows are counted together first, so one scan and one shuffle with map-side combine
-    give every figure. Columns that do not exist are skipped.
+    Counts and ranges are one aggregate. For repeated rows only a 128-bit digest of each row is shuffled; whole
+    rows are compared where a digest occurs more than once. Columns that do not exist are skipped.
     """
     df = nulls_for_nans(df)
-    nulls = reduce(lambda a, b: a + b, [_quoted(c).isNull().cast("int") for c in df.columns])
-    copies = df.groupBy(*[_quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+    columns = [_quoted(c) for c in df.columns]
+    nulls = reduce(lambda a, b: a + b, [c.isNull().cast("int") for c in columns])
+    keyed = df.withColumns({"_one": F.xxhash64(*columns), "_two": F.xxhash64(F.lit(1), *columns)})
+    again = keyed.groupBy("_one", "_two").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_one", "_two")
+    repeated = lookup_join(keyed, materialize(again), ["_one", "_two"], "inner")
+    duplicates = repeated.groupBy(*columns).agg((F.count(F.lit(1)) - 1).alias("_more")).agg(F.coalesce(F.sum("_more"), F.lit(0)))
     present = [c for c in numeric_columns if c in df.columns]
-    report = copies.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_rows"),
-        F.coalesce(F.sum(F.col("_copies") * nulls), F.lit(0)).alias("total_nulls"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"),
+    report = df.agg(
+        F.count(F.lit(1)).alias("total_rows"), F.coalesce(F.sum(nulls), F.lit(0)).alias("total_nulls"),
         *[f(_quoted(c)).cast("double").alias(f"{c}_{n}")
           for c in present for f, n in ((F.min, "min"), (F.max, "max"))],
     )
     cells = F.col("total_rows").cast("double") * F.lit(float(len(df.columns)))
     share = F.round(F.try_divide(F.col("total_nulls").cast("double") * 100.0, cells), 2)
-    return report.select("total_rows", "total_nulls", share.alias("null_percentage"), "duplicate_rows",
+    return report.select("total_rows", "total_nulls", share.alias("null_percentage"), duplicates.scalar().alias("duplicate_rows"),
                          *[f"`{c}_{n}`" for c in present for n in ("min", "max")])
 
 

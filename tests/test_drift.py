@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cohortica.functions.tails import _chi_square_tail
+from cohortica.functions.tails import chi_square_tail, normal_two_sided_tail
 from cohortica.operators import drift
 from cohortica.plans.jobs import get_drift_summary, write_drift_report
 
@@ -74,8 +74,36 @@ def test_chi_square(spark):
 
 @pytest.mark.parametrize("x,k,p", [(3.841458820694124, 1, 0.05), (5.991464547107979, 2, 0.05), (7.814727903251179, 3, 0.05),
                                    (18.307038053275146, 10, 0.05), (0.0, 4, 1.0), (24.99579013972863, 15, 0.05)])
-def test_chi_square_tail(x, k, p):
-    assert _chi_square_tail(x, k) == pytest.approx(p, rel=1e-9)
+def test_chi_square_tail(spark, x, k, p):
+    df = spark.createDataFrame([(x, k)], "x double, k long").select(chi_square_tail(F.col("x"), F.col("k")).alias("p"))
+    assert df.first()["p"] == pytest.approx(p, rel=1e-9)
+
+
+def finite_sum(x, k):
+    """P(X >= x) as the sum that whole and half numbers of degrees allow."""
+    half, terms = x / 2, [math.erfc(math.sqrt(x / 2)) if k % 2 else math.exp(-x / 2)]
+    shape = 0.5 if k % 2 else 1.0
+    while shape < k / 2:
+        terms.append(math.exp(shape * math.log(half) - half - math.lgamma(shape + 1)))
+        shape += 1
+    return math.fsum(terms)
+
+
+def test_chi_square_tail_at_all_sizes(spark):
+    rows = [(k * f + d, k) for k in (1, 2, 3, 7, 24, 101, 1000, 10_001, 100_000, 1_000_000) for f in (0.5, 0.9, 1.0, 1.02, 1.5) for d in (0.0, 2.5)]
+    df = spark.createDataFrame(rows + [(float("nan"), 3), (None, 3), (1.0, 0), (1.0, None), (-1.0, 2), (0.0, 5)], "x double, k long")
+    tail = df.withColumn("p", chi_square_tail(F.col("x"), F.col("k")))
+    assert "Python" not in tail._jdf.queryExecution().toString()
+    got = [r["p"] for r in tail.collect()]
+    for (x, k), p in zip(rows, got):
+        assert p == pytest.approx(min(finite_sum(x, k), 1.0), rel=1e-6, abs=1e-12), (x, k)
+    assert got[len(rows):] == [None, None, None, None, 1.0, 1.0]
+
+
+def test_normal_tail(spark):
+    zs = [0.0, 0.1, -1.0, 1.96, 3.5, -6.0, None]
+    got = spark.createDataFrame([(z,) for z in zs], "z double").select(normal_two_sided_tail(F.col("z")).alias("p")).collect()
+    assert [r["p"] for r in got[:-1]] == pytest.approx([math.erfc(abs(z) / math.sqrt(2)) for z in zs[:-1]], rel=1e-9) and got[-1]["p"] is None
 
 
 def test_proportion_z(spark):

@@ -77,3 +77,14 @@ def test_domain_contract(spark):
 def test_top_rows_and_counts(sample):
     assert [r["a"] for r in quality.top_rows(sample, "a", 3, ["b"]).collect()] == [2.0, 1.0, None]
     assert tuple(quality.count_matching(sample, F.col("a") > 1).first()) == (1, 3)
+
+
+def test_repeated_rows_are_found_by_digest(spark):
+    rows = [(i % 50, None if i % 3 else 1.5, "x" * (i % 5)) for i in range(400)] + [(7, -0.0, "z"), (7, 0.0, "z"), (7, float("nan"), None), (7, None, None)]
+    df = spark.createDataFrame(rows, "a int, b double, c string")
+    key = lambda r: (r[0], None if r[1] is None or r[1] != r[1] else r[1] + 0.0, r[2])
+    report = quality.check_data_quality(df, ["a", "b"]).first()
+    assert report["total_rows"] == 404 and report["duplicate_rows"] == 404 - len({key(r) for r in rows})
+    assert report["b_min"] == 0.0 and report["total_nulls"] == sum(v is None for r in rows for v in key(r))
+    none = quality.check_data_quality(df.limit(0), ["a"]).first()
+    assert (none["total_rows"], none["duplicate_rows"], none["null_percentage"]) == (0, 0, None)
