@@ -11,6 +11,7 @@ the end of the file, then only the frames of the documents it wants.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
@@ -47,6 +48,21 @@ def _byte_symbols() -> list[str]:
     return [chr(b) if b in visible else chr(256 + hidden.index(b)) for b in range(256)]
 
 
+#: How the default vocabulary normalises and splits texts.
+_WORD_SCHEME = (
+    ["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"],
+    r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+", "BPE", "</w>")
+
+
+def _scheme(found: dict) -> tuple:
+    """Normalisers, splitters, the splitting pattern, the kind of model and the mark of a word's end."""
+    steps = (found.get("normalizer") or {}).get("normalizers") or []
+    splits = (found.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    patterns = [s["pattern"].get("Regex") for s in splits if s["type"] == "Split"]
+    return ([s["type"] for s in steps], [s["type"] for s in splits], *patterns, found["model"]["type"],
+            found["model"].get("end_of_word_suffix"))
+
+
 class Encoder:
     """Ids of whole texts as the tokenizers library gives them, each different word encoded once per worker.
 
@@ -54,7 +70,8 @@ class Encoder:
     runs between ASCII white space in turn. A run of Latin letters, at most followed by plain punctuation, is
     split further and lower-cased before it is looked up: below U+0100 neither composition nor lower-casing
     depends on what stands beside a letter, so such words go straight to the library's merges. The cache is
-    emptied when full, so memory is bounded.
+    emptied when full, so memory is bounded. All this holds for vocabularies that normalise and split as the
+    default one does; texts go whole to the library with any other.
     """
 
     #: Letters whose lower case is one letter below U+0100, and punctuation that starts no contraction.
@@ -63,6 +80,8 @@ class Encoder:
     def __init__(self, vocabulary: str, cache: int = 250_000):
         self.tokenizer, self.limit, self.symbols = Tokenizer.from_file(vocabulary), cache, _byte_symbols()
         self.words: dict[bytes, bytes] = {}
+        with open(vocabulary, encoding="utf-8") as source:
+            self.by_words = _scheme(json.load(source)) == _WORD_SCHEME
 
     def _of(self, piece: str) -> bytes:
         ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
@@ -92,6 +111,8 @@ class Encoder:
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian uint32; NULL and empty texts have none."""
+        if not self.by_words:
+            return self._of(text or "")
         get, learn = self.words.get, self._learn
         out = b"".join([get(w) or learn(w) for w in (text or "").encode().split()])
         if len(self.words) > self.limit:
@@ -204,7 +225,13 @@ def write_tokens(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str
     Documents are range-partitioned by (doc_id, hash of the text), NULL ids last, so files in order of their
     number hold ascending ids and many rows with one id are spread. A task writes under a name of its
     attempt and then renames, so a repeated task leaves one whole file. Returns (part, n_docs, n_tokens).
+    A folder that holds token files already is an error, as files of a larger run would stay beside the new ones.
+    Very long texts are encoded whole, one at a time.
     """
+    held, base = fs.FileSystem.from_uri(folder)
+    there = held.get_file_info(fs.FileSelector(base, allow_not_found=True))
+    if any(f.base_name.startswith("tokens-") and f.base_name.endswith(".zst") for f in there):
+        raise FileExistsError(f"{folder} holds token files already")
     vocabulary = vocabulary or public_tokenizers.path(VOCABULARY)
     end = np.array([end_id], "<u4").tobytes()
     order = [F.col("missing"), F.col("doc_id"), F.col("hash")]

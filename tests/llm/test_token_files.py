@@ -39,6 +39,21 @@ def test_round_trip(odd, small, none, tmp_path):
     assert token_files.round_trip(none, f"file://{tmp_path}/none").count() == 0
 
 
+def test_other_vocabularies_are_encoded_by_the_library(small, tmp_path):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    assert OURS.by_words and not token_files.Encoder(path).by_words
+    folder = f"file://{tmp_path}/other"
+    token_files.write_tokens(small, folder, vocabulary=path).collect()
+    wanted = {r.doc_id: plain.encode(r.text or "", add_special_tokens=False).ids + [1] for r in small.limit(20).collect()}
+    got = {}
+    for part in range(len(list((tmp_path / "other").glob("tokens-*.zst")))):
+        got |= token_files.read_documents(f"{tmp_path}/other", part, list(wanted))
+    assert {k: v.tolist() for k, v in got.items()} == wanted
+    with pytest.raises(FileExistsError):
+        token_files.write_tokens(small, folder, vocabulary=path)
+
+
 def test_frames_and_checksums(small, tmp_path):
     docs = [(i, np.arange(i % 7 * 300, dtype="<u4").tobytes()) for i in range(200)]
     path = tmp_path / "tokens-000000.zst"
