@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortica import fixed
 from cohortica.functions import clean_number, ilike_any
-from cohortica.operators.skew import hot_keys, lookup_join, salted_join, salted_star
+from cohortica.operators.skew import grid_join, hot_keys, lookup_join, salted_join, salted_star
 
 
 def filter_labels(dictionary: DataFrame, label: str, patterns: list[str],
@@ -84,7 +84,8 @@ def flag_label(anchors: DataFrame, codes: DataFrame, *, key: str, code: str, pat
     With `dedupe=False` the row repeats once per distinct matching code of the key.
     """
     hits = code_hits(codes, key=key, code=code, patterns=patterns, flag=flag, dedupe=dedupe)
-    return salted_join(anchors, hits, key, "left", **probe_args).withColumn(flag, F.coalesce(flag, F.lit(0)))
+    joined = salted_join if dedupe else grid_join  # a key has one hit, or as many as it has codes
+    return joined(anchors, hits, key, "left", **probe_args).withColumn(flag, F.coalesce(flag, F.lit(0)))
 
 
 def nutrition_labs(d_labitems: DataFrame) -> DataFrame:

@@ -4,7 +4,9 @@ Two choices are made while the plan is built, both from counts that Spark comput
 
 * `lookup_join` broadcasts the right side only after measuring that it is small;
 * `salted_join` spreads the rows of very frequent left keys over several tasks and repeats
-  the matching right rows for each of them. No row is dropped and no key is capped.
+  the matching right rows for each of them. No row is dropped and no key is capped;
+* `grid_join` does the same where right keys are frequent too: left rows go to one of n parts, right rows to
+  one of m, and each is repeated over the other's parts, so no task meets all rows of either side.
 """
 
 from __future__ import annotations
@@ -36,10 +38,10 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
 
 def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "left",
                 max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES, **probe_args) -> DataFrame:
-    """Join to a table that may be small: broadcast if measured small, else salted."""
+    """Join to a table that may be small: broadcast if measured small, else with hot keys of both sides spread."""
     if is_small(right, max_rows, max_bytes):
         return left.join(F.broadcast(right), on, how)
-    return salted_join(left, right, on, how, **probe_args)
+    return grid_join(left, right, on, how, **probe_args)
 
 
 def hot_keys(df: DataFrame, on, rows_per_task: int = ROWS_PER_TASK,
@@ -97,3 +99,35 @@ def salted_join(left: DataFrame, right: DataFrame, on, how: str = "left",
     if how not in ("inner", "left"):
         raise ValueError("salted joins keep every left row once: use inner or left")
     return salted_star(left, [right], on, how, hot, **probe_args)
+
+
+def _spread(df: DataFrame, keys: list[str], own: str, other: str) -> DataFrame:
+    """Rows with a part of their own side, by a hash of the row, repeated for every part of the other side."""
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c not in ("_n", "_m")]), F.col(own)).cast("int")
+    return df.withColumn(f"{own}_part", part).withColumn(f"{other}_part", F.explode(F.sequence(F.lit(0), F.col(other) - 1))) \
+        .drop("_n", "_m")
+
+
+def grid_join(left: DataFrame, right: DataFrame, on, how: str = "left", **probe_args) -> DataFrame:
+    """Equi-join (inner or left) with the hot keys of both sides spread over a grid of tasks.
+
+    Keys that are hot on the right exist there, so their left rows all find a match: they are joined inner, part by
+    part, and repeats cannot make rows without a match. Everything else is a salted join.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("grid joins keep every left row: use inner or left")
+    keys = [on] if isinstance(on, str) else list(on)
+    hot_left, hot_right = (hot_keys(df, keys, **probe_args) for df in (left, right))
+    if hot_right is not None:
+        hot_right = hot_right.dropna(subset=keys)
+    if hot_right is None or hot_right.isEmpty():
+        return salted_join(left, right, keys, how, hot_left)
+    parts = hot_right.withColumnRenamed("_salts", "_m")
+    parts = parts.withColumn("_n", F.lit(1)) if hot_left is None else \
+        parts.join(hot_left.withColumnRenamed("_salts", "_n"), keys, "left").withColumn("_n", F.coalesce("_n", F.lit(1)))
+    parts = F.broadcast(parts)
+    cells = [_spread(df.join(parts, keys), keys, own, other).withColumnsRenamed({"_n_part": "_i", "_m_part": "_j"})
+             for df, own, other in ((left, "_n", "_m"), (right, "_m", "_n"))]
+    crowded = cells[0].join(cells[1], [*keys, "_i", "_j"]).drop("_i", "_j")
+    rest = salted_join(left.join(parts, keys, "left_anti"), right.join(parts, keys, "left_anti"), keys, how, hot_left)
+    return rest.unionByName(crowded)

@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from cohortica.operators import skew
 from cohortica.operators.cohort import windowed_pivot
 from cohortica.operators.running import running_totals
 from cohortica.operators.skew import hot_keys, is_small, lookup_join, salted_join, salted_star
@@ -118,3 +119,28 @@ def test_running_totals_without_groups_and_empty(spark):
     got = {r["v"]: r["before_n"] for r in running_totals(df, "v", ["n"]).collect()}
     assert got == {1.0: 0, 2.0: 2, 3.0: 6}
     assert running_totals(df.where("v > 9"), "v", ["n"]).count() == 0
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("hot_left", [True, False])
+def test_grid_join_of_keys_that_are_hot_on_both_sides(spark, how, hot_left):
+    left = spark.range(900 if hot_left else 60).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 7 == 0, None).otherwise(F.col("id")).alias("k"),
+                                                       F.lit("z").alias("kind"), F.col("id").alias("a"))
+    right = spark.range(500).select(F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 40).alias("k"),
+                                    F.lit("z").alias("kind"), F.col("id").alias("b"))
+    want = left.join(right, ["k", "kind"], how)
+    got = skew.grid_join(left, right, ["k", "kind"], how, rows_per_task=50, fraction=1.0)
+    assert got.columns == want.columns
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    plain = skew.grid_join(left, right.where("k <> 7"), ["k", "kind"], how, rows_per_task=50, fraction=1.0)
+    assert plain.count() == left.join(right.where("k <> 7"), ["k", "kind"], how).count()
+
+
+def test_a_task_of_a_grid_join_meets_a_part_of_either_side(spark):
+    left, right = (spark.range(n).select(F.lit(1).alias("k"), F.col("id").alias(c)) for n, c in ((400, "a"), (300, "b")))
+    one = skew._spread(left.withColumns({"_n": F.lit(8), "_m": F.lit(6)}), ["k"], "_n", "_m")
+    two = skew._spread(right.withColumns({"_n": F.lit(8), "_m": F.lit(6)}), ["k"], "_m", "_n")
+    cells = one.groupBy("_n_part", "_m_part").count().collect(), two.groupBy("_n_part", "_m_part").count().collect()
+    assert [len(c) for c in cells] == [48, 48]
+    assert max(r["count"] for r in cells[0]) < 100 and max(r["count"] for r in cells[1]) < 100
+    assert skew.grid_join(left, right, "k", "left", rows_per_task=50, fraction=1.0).count() == 120_000
