@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from cohortica import fixed
 from cohortica.functions import chi_square_tail, kolmogorov_tail, normal_two_sided_tail
 from cohortica.operators.clean import nulls_for_nans
-from cohortica.operators.running import materialize, range_parts, running_totals
+from cohortica.operators.running import bucketed, materialize, running_totals
 
 _FEATURE = ["feature"]
 
@@ -61,10 +61,10 @@ def _cdf_gap():
 def ranked_counts(counts: DataFrame) -> DataFrame:
     """Counts with earlier and total counts per feature, the following value and the deviation.
 
-    The population deviation of the reference is taken in two passes over the checkpointed
-    counts, around the mean.
+    The population deviation of the reference is taken in two passes over the counts of one
+    exchange, around the mean.
     """
-    ranged = range_parts(counts, "value", _FEATURE)
+    ranged = bucketed(counts, "value", _FEATURE)
     rows = F.sum("a").cast("double")
     centre = ranged.groupBy("feature").agg(F.try_divide(F.sum(F.col("a") * F.col("value")), rows).alias("centre"))
     off = F.col("value") - F.col("centre")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cohortica.operators import skew
 from cohortica.operators.cohort import windowed_pivot
+from cohortica.operators import running
 from cohortica.operators.running import running_totals
 from cohortica.operators.skew import hot_keys, is_small, lookup_join, salted_join, salted_star
 
@@ -144,3 +145,24 @@ def test_a_task_of_a_grid_join_meets_a_part_of_either_side(spark):
     assert [len(c) for c in cells] == [48, 48]
     assert max(r["count"] for r in cells[0]) < 100 and max(r["count"] for r in cells[1]) < 100
     assert skew.grid_join(left, right, "k", "left", rows_per_task=50, fraction=1.0).count() == 120_000
+
+
+def test_running_totals_with_missing_and_odd_values(spark):
+    nan, inf = float("nan"), float("inf")
+    data = [(g, v, 1 + i) for g in (None, "a", "b") for i, v in enumerate([None, -inf, -2.5, 0.0, 7.0, inf, nan])]
+    df = spark.createDataFrame(data, "g string, v double, n long").repartition(3)
+    got = {(r["g"], str(r["v"])): (r["before_n"], r["total_n"]) for r in running_totals(df, "v", ["n"], ["g"]).collect()}
+    assert got == {(g, str(v)): (sum(range(1, n)), 28) for g, v, n in data}
+
+
+def test_running_totals_read_one_exchange_without_a_checkpoint(spark):
+    df = spark.range(5000).select((F.col("id") % 3).alias("g"), (F.col("id") % 1000).cast("double").alias("v"))
+    counts = df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_totals(counts, "v", ["n"], ["g"])
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "ExistingRDD" not in plan
+    ranked.collect()
+    final = ranked._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("Exchange shufflepartitionidpassthrough") == 2 and final.count("ReusedExchange") == 1
+    sizes = [r["count"] for r in running.bucketed(counts, "v", ["g"]).groupBy("_bucket").count().collect()]
+    assert max(sizes) <= 2 * 3000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
