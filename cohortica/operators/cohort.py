@@ -106,12 +106,13 @@ def first_observations(omr: DataFrame, tie_break: str = "seq") -> DataFrame:
         text_measures=fixed.OBSERVATION_TEXT_MEASURES)
 
 
-def build_cohort(tables: dict[str, DataFrame], dedupe: bool = True) -> DataFrame:
+def build_cohort(tables: dict[str, DataFrame], dedupe: bool = True, **probe_args) -> DataFrame:
     """One wide row per admission from the six clinical tables (29 columns).
 
     The subject-level tables join in one salted pass over the admissions and the admission-level
     ones, aggregated to one row per admission, in a second. Hot keys are looked up on the
-    admissions themselves.
+    admissions themselves. Without `dedupe` an admission has as many rows as codes, so its codes may be hot
+    as well and meet it in a grid.
     """
     admissions = tables["admissions"]
     base = admissions.select("subject_id", "hadm_id", "admission_type", "admission_location",
@@ -123,8 +124,12 @@ def build_cohort(tables: dict[str, DataFrame], dedupe: bool = True) -> DataFrame
     hits = code_hits(tables["diagnoses_icd"], key="hadm_id", code="icd_code",
                      patterns=fixed.LABEL_CODE_PATTERNS, flag=fixed.LABEL_COLUMN, dedupe=dedupe,
                      distinct_on=["subject_id", "hadm_id", "icd_code"])
-    wide = salted_star(base, [patients, observed], "subject_id", hot=hot_keys(base, "subject_id"))
-    wide = salted_star(wide, [labs, hits], "hadm_id", hot=hot_keys(base, "hadm_id"))
+    wide = salted_star(base, [patients, observed], "subject_id", hot=hot_keys(base, "subject_id", **probe_args))
+    hot = hot_keys(base, "hadm_id", **probe_args)
+    if dedupe:
+        wide = salted_star(wide, [labs, hits], "hadm_id", hot=hot)
+    else:
+        wide = grid_join(salted_star(wide, [labs], "hadm_id", hot=hot), hits, "hadm_id", hot=hot, **probe_args)
     wide = wide.withColumn(fixed.LABEL_COLUMN, F.coalesce(fixed.LABEL_COLUMN, F.lit(0)))
     return wide.select(
         "subject_id", "hadm_id", "gender", "age", "admission_type", "admission_location",

@@ -108,16 +108,20 @@ def _spread(df: DataFrame, keys: list[str], own: str, other: str) -> DataFrame:
         .drop("_n", "_m")
 
 
-def grid_join(left: DataFrame, right: DataFrame, on, how: str = "left", **probe_args) -> DataFrame:
+def grid_join(left: DataFrame, right: DataFrame, on, how: str = "left",
+              hot: DataFrame | None | str = "probe", **probe_args) -> DataFrame:
     """Equi-join (inner or left) with the hot keys of both sides spread over a grid of tasks.
 
+    `hot` gives the hot keys of the left side where they are known, so that a computed side need not be probed.
+
     Keys that are hot on the right exist there, so their left rows all find a match: they are joined inner, part by
     part, and repeats cannot make rows without a match. Everything else is a salted join.
     """
     if how not in ("inner", "left"):
         raise ValueError("grid joins keep every left row: use inner or left")
     keys = [on] if isinstance(on, str) else list(on)
-    hot_left, hot_right = (hot_keys(df, keys, **probe_args) for df in (left, right))
+    hot_left = hot_keys(left, keys, **probe_args) if isinstance(hot, str) else hot
+    hot_right = hot_keys(right, keys, **probe_args)
     if hot_right is not None:
         hot_right = hot_right.dropna(subset=keys)
     if hot_right is None or hot_right.isEmpty():

@@ -4,8 +4,8 @@ import pytest
 
 from cohortica import fixed
 from cohortica.operators import cohort
-from cohortica.sources.files import register_views
 from cohortica.sources.schema import TABLES, WIDE
+from cohortica.sources.views import register_folder, register_views
 
 
 def at(hours, seconds=0):
@@ -76,6 +76,17 @@ def test_fan_out_repeats_per_code(tables):
     assert counts == {100: 2, 101: 1, 102: 1, 103: 1}
 
 
+def test_codes_hot_on_both_sides_repeat_the_same_rows(spark, tables):
+    many = spark.range(300).selectExpr("10L subject_id", "100L hadm_id", "concat('E4', id) icd_code")
+    crowd = spark.range(40).selectExpr("10L subject_id", "100L hadm_id", "timestamp'2150-03-01 08:00:00' admittime",
+                                       "cast(id as string) admission_type", "'x' admission_location", "'y' marital_status", "'z' race")
+    both = {**tables, "diagnoses_icd": tables["diagnoses_icd"].union(many), "admissions": tables["admissions"].union(crowd)}
+    plain = cohort.build_cohort(both, dedupe=False)
+    grid = cohort.build_cohort(both, dedupe=False, rows_per_task=20, fraction=1.0)
+    assert grid.columns == plain.columns and plain.count() == 41 * 301 + 3  # E43 is one of the 300
+    assert _as_rows(grid) == _as_rows(plain)
+
+
 def test_views_can_be_queried(spark, tables):
     register_views(tables)
     assert spark.sql("select count(*) from mal_pt_data where has_malnutrition = 1").first()[0] == 3
@@ -84,6 +95,42 @@ def test_views_can_be_queried(spark, tables):
     assert spark.sql("select count(*) from omr_admit_antho").first()[0] == 2
 
 
+def _as_rows(df):
+    return sorted((str(sorted(r.asDict().items())) for r in df.collect()))
+
+
+def test_view_chain_is_bound_late(spark, tables, tmp_path):
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    register_folder(spark, str(tmp_path))
+    assert [(f.name, f.dataType) for f in spark.table("mal_pt_data").schema] == [(f.name, f.dataType) for f in WIDE]
+    assert _as_rows(spark.table("mal_pt_data")) == _as_rows(cohort.build_cohort(tables, dedupe=False))
+    query = "select a.hadm_id, p.gender from admissions a join patients p on a.subject_id = p.subject_id"
+    plan = lambda: spark.sql(query)._jdf.queryExecution().executedPlan().toString()
+    rows, before = spark.sql("select count(*) from mal_pt_data").first()[0], plan()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "30000")
+        for name, more in (("admissions", ("id + 1000", "id + 1000", "timestamp'2150-03-01'", *["uuid()"] * 4)),
+                           ("patients", ("id + 1000", "'F'", "50"))):
+            grown = spark.range(20000).selectExpr(*[f"cast({e} as {f.dataType.simpleString()}) {f.name}"
+                                                   for e, f in zip(more, TABLES[name])])
+            grown.write.mode("append").parquet(f"{tmp_path}/{name}")
+        after = plan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert spark.sql("select count(*) from mal_pt_data").first()[0] == rows + 20000
+    assert spark.sql("select count(*) from mal_pt_data where age = 50 and gender = 'F'").first()[0] == 20000
+    assert "BroadcastHashJoin" in before and "SortMergeJoin" in after
+
+
+def test_replacing_a_base_view_changes_those_above_it(spark, tables):
+    register_views(tables)
+    tables["d_labitems"].where("itemid <> 2").createOrReplaceTempView("d_labitems")
+    assert spark.sql("select count(*) from d_nutrition_labs").first()[0] == 4
+    assert spark.sql("select max(glucose_admit) from nutrition_lab_events").first()[0] is None
+
+
 def test_first_rows_limits_before_the_shuffle(tables):
     plan = cohort.first_rows(tables["omr"], ["subject_id"], ["chartdate", "seq"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
