@@ -132,9 +132,12 @@ def held_out(docs: DataFrame, doc_id: str = "doc_id"):
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
         sample: int = SAMPLE_PER_LANGUAGE) -> Model:
-    """Learn from labelled rows that are not held out: about `sample` of each language, drawn by a hash of id and text."""
+    """Learn from labelled rows that are not held out: about `sample` of each language, drawn by a hash of the id.
+
+    Texts without a letter teach nothing: a label that has no other texts is not a language of the model.
+    """
     labelled = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(
-        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(docs, doc_id))
+        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(docs, doc_id) & F.col("text").rlike(r"\p{L}"))
     counts = labelled.groupBy("lang").count().collect()  # a row per language
     model = Model([r["lang"] for r in counts])
     roles = model.roles()
@@ -145,7 +148,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
     parts = spark.createDataFrame(roles, "lang string, machine int, y double")
     draw = (F.xxhash64(F.lit(6), "doc_id") % 1_000_000 + 1_000_000) % 1_000_000
     rows = (labelled.join(F.broadcast(shares), "lang").where(draw < F.col("share") * 1_000_000)
-            .where(F.length("text") > 0).select("lang", "text"))
+            .select("lang", "text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,12 +200,17 @@ def predict(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str
 
 
 def keep_identified(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
-                    sample: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
-    """`docs`, all its columns, without the rows that have no language: NULL texts and texts without a letter.
+                    sample: int = SAMPLE_PER_LANGUAGE, least: float = 0.5, languages: tuple[str, ...] | None = None) -> DataFrame:
+    """`docs`, all its columns, without the rows whose language is not told, or is not wanted.
 
-    Rows are kept whole by looking up the rejected texts, which are few kinds: they are told by their hash.
+    Rejected are NULL texts, texts without a letter, texts whose score is below `least` (below 0.5 the best
+    language loses one of its own duels, so no language stands out) and, where `languages` names the wanted ones,
+    texts predicted as another. Repeated rows and ids are judged row by row; extra columns are kept as they are.
     """
     model = fit(docs, text, lang, doc_id, sample)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     judged = identify(rows.select("row", F.col(f"row.`{text}`").alias("text")), model)
-    return judged.where("lang_pred <> 'und'").select("row.*")
+    wanted = (F.col("lang_pred") != "und") & (F.col("score") >= least)
+    if languages is not None:
+        wanted &= F.col("lang_pred").isin(*languages)
+    return judged.where(wanted).select("row.*")

@@ -15,7 +15,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from cohortica.llm.components import components
 from cohortica.llm.shared import checkpoint, partitions
@@ -282,7 +282,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, tau: int = 3) -> DataFrame:
     """`docs`, all its columns, with one row of each SimHash group: the one with the smallest doc_id
-    (NULL ids last, then the smallest text hash); of repeated rows one stays.
+    (NULL ids last, then the smallest text hash). Of rows equal in both, the one with the smallest hash of its
+    columns stays, so a retried task keeps the same one; columns of maps are not compared.
     """
     groups = near_duplicates(docs, doc_id, text, shingle, tau)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
@@ -292,4 +293,5 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     rows = rows.select("row", F.col(f"row.`{doc_id}`").alias("doc_id"),
                        F.xxhash64(F.col(f"row.`{text}`")).alias("text_hash")).select(key, "row")
     mine = rows.join(kept.select(key), "key", "left_semi")
-    return mine.groupBy("key").agg(F.first("row").alias("row")).select("row.*")
+    compared = [F.col(f"row.`{f.name}`") for f in docs.schema if not isinstance(f.dataType, T.MapType)]
+    return mine.groupBy("key").agg(F.min_by("row", F.xxhash64(*compared)).alias("row")).select("row.*")

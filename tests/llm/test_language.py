@@ -40,3 +40,22 @@ def test_unlabelled_and_single(spark, odd):
 def test_blocks_change_nothing():
     text = "Der Fuchs läuft. " * 50
     assert abs(language.features(text) - language.features(text, 97)).max() < 1e-6
+
+
+def test_labels_without_usable_texts_are_no_languages(spark):
+    rows = [(k, t, l) for k in range(40) for t, l in ((None, "aa"), ("", "bb"), ("12 ?", "cc"), ("der Hund und die Katze", "de"),
+                                                     ("the dog and the cat", "en"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert {l for members in model.members.values() for l in members} == {"de", "en"}
+    assert model.predict("the cat and the dog")[0] == "en"
+    assert language.fit(docs.where("lang in ('aa', 'bb', 'cc')")).predict("hello") == ("und", 0.0)
+
+
+def test_stage_rejects_the_undecided_and_the_unwanted(spark, small):
+    judged = {r.doc_id: r for r in language.predict(small).collect()}
+    bar = sorted(r.score for r in judged.values())[len(judged) // 3]
+    kept = language.keep_identified(small, least=bar, languages=("en", "de"))
+    assert kept.columns == small.columns
+    want = {d for d, r in judged.items() if r.score >= bar and r.lang_pred in ("en", "de")}
+    assert {r.doc_id for r in kept.collect()} == want and 0 < len(want) < len(judged)
