@@ -410,3 +410,26 @@ from gains order by gains.gain desc, place, cut nulls last, side limit 1"""
 ORACLES["run_life_cycle"] = """
 select case o_orderstatus when 'F' then 'FINISHED' when 'O' then 'RUNNING' else 'FAILED' end as status, count(*) as runs,
   count(*) filter (o_orderstatus <> 'O') as measured from orders group by all"""
+
+# --- round trips and the whole preparation
+ORACLES["cohort_views"] = ORACLES["cohort_wide_fanout"]
+ORACLES["csv_round_trip"] = ORACLES["cohort_wide"]
+ORACLES["metrics_round_trip"] = ORACLES["binary_metrics"]
+ORACLES["run_log_round_trip"] = ORACLES["finished_runs"]
+ORACLES["params_round_trip"] = f"""select name,
+  case when as_int is not null then 'int' when as_double is not null then 'float' else 'str' end as kind
+from ({ORACLES["best_params"]}) where value is not null"""
+ORACLES["tables_round_trip"] = clinical_sql(" union all ".join(
+    f"select '{name}' as name, count(*) as n from {source}" for name, source in [
+        *((t, t) for t in ("d_labitems", "labevents", "admissions", "patients", "diagnoses_icd", "omr", "d_nutrition_labs",
+                           "nutrition_lab_events", "omr_admit_antho")),
+        ("mal_pt_data", "cohort c left join coded k on c.hadm_id = k.hadm_id")]))
+ORACLES["scoring_coverage"] = """select count(*) as total,
+  count(*) filter (where l_linestatus = 'F' and l_returnflag <> 'R' and l_extendedprice > 5000) as used,
+  count(*) filter (where (l_linestatus = 'F') is not true) as no_label, count(*) filter (where (l_returnflag <> 'R') is not true) as no_prediction,
+  count(*) filter (where (l_extendedprice > 5000) is not true) as no_score from lineitem"""
+ORACLES["prepare_admissions"] = clinical_sql("").rstrip() + """,
+sided as (select *, row_number() over (partition by has_malnutrition order by md5(concat(cast(hadm_id as varchar), ':42')), hadm_id)
+  <= round(count(*) over (partition by has_malnutrition) * 0.2::double) as is_test from grouped)
+select is_test, has_malnutrition, race_grouped, admit_type_grouped, admit_loc_grouped, count(*) as n, count(height_cm) as measured,
+  0 as missing, 0 as changed from sided group by all"""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortica import fixed
@@ -10,11 +13,12 @@ from cohortica.functions import (
     first_match, group_admission_location, group_admission_type, group_race,
 )
 from cohortica.operators import clean, cohort, drift, knn, metrics, quality, runs, scale, split
-from cohortica.operators.running import materialize
-from cohortica.plans import train
+from cohortica.operators.running import ensure_checkpoint_dir, materialize
+from cohortica.plans import jobs, train
 from cohortica.plans.preprocess import AdmissionPreprocessor
+from cohortica.sources import files, views
 from cohortica.sources.files import typed_from_text
-from cohortica.sources.schema import schema
+from cohortica.sources.schema import WIDE, schema
 
 QUERIES = {}
 
@@ -123,6 +127,13 @@ def cohort_wide_fanout(spark, d):
     return cohort.build_cohort(clinical_tables(spark, d), dedupe=False)
 
 
+@query
+def cohort_views(spark, d):
+    """The same from the chain of views."""
+    views.register_views(clinical_tables(spark, d))
+    return spark.table("mal_pt_data")
+
+
 # --- cleaning and features -------------------------------------------------------------------
 
 def _cleaned(spark, d):
@@ -210,6 +221,21 @@ def impute_patients(spark, d):
     return _rounded(model.transform(frame).select("subject_id", "height_cm", "weight_kg", "bmi"), 3)
 
 
+@query
+def prepare_admissions(spark, d):
+    """Split, fit on the train rows, transform both sides: rows per side, label and groups, what is still missing,
+    and how many measured heights and weights came out changed."""
+    wide = cohort.build_cohort(clinical_tables(spark, d))
+    train_df, test_df, _ = jobs.prepare_train_test(wide)
+    measured = clean.clean_data(wide).select("hadm_id", F.col("height_cm").alias("height"), F.col("weight_kg").alias("weight"))
+    both = train_df.withColumn("is_test", F.lit(False)).unionByName(test_df.withColumn("is_test", F.lit(True)))
+    groups = ["is_test", fixed.LABEL_COLUMN, "race_grouped", "admit_type_grouped", "admit_loc_grouped"]
+    return both.join(measured, "hadm_id").groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("n"), F.count("height").alias("measured"),
+        F.count_if(F.col("height_cm").isNull() | F.col("weight_kg").isNull() | F.col("bmi").isNull()).alias("missing"),
+        F.count_if((F.col("height") != F.col("height_cm")) | (F.col("weight") != F.col("weight_kg"))).alias("changed"))
+
+
 # --- quality ---------------------------------------------------------------------------------
 
 def _lines_with_gaps(spark, d):
@@ -397,6 +423,15 @@ def quality_gate(spark, d):
     return metrics.quality_gate(metrics.binary_metrics(_scored_lines(spark, d), "label", "prediction", "score"))
 
 
+@query
+def scoring_coverage(spark, d):
+    """Lines with gaps: those with returned goods have no prediction, cheap ones no score, open ones no label."""
+    lines = read(spark, d, "lineitem").select(
+        F.when(F.col("l_linestatus") == "F", 1).alias("label"), F.when(F.col("l_returnflag") != "R", 1).alias("prediction"),
+        F.when(F.col("l_extendedprice") > 5000, F.col("l_extendedprice")).alias("score"))
+    return metrics.scoring_coverage(lines, "label", "prediction", "score")
+
+
 # --- drift ---------------------------------------------------------------------------------------
 
 DRIFT_CUT = "2024-01-16 00:00:00"
@@ -515,6 +550,60 @@ def best_params(spark, d):
     return runs.best_params(_runs(spark, d))
 
 
+# --- files: written to the cluster's shared folder and read back ---------------------------------------
+
+def _new_folder(spark):
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/round-trip-{uuid.uuid4().hex}"
+
+
+@query
+def csv_round_trip(spark, d):
+    folder = _new_folder(spark)
+    files.save_processed_df(cohort.build_cohort(clinical_tables(spark, d)), folder)
+    return files.load_data(spark, folder, WIDE)
+
+
+@query
+def tables_round_trip(spark, d):
+    """The six clinical tables as Parquet, read with their declared schemas, and the late-bound chain over them."""
+    folder = _new_folder(spark)
+    for name, df in clinical_tables(spark, d).items():
+        df.write.parquet(f"{folder}/{name}")
+    views.register_folder(spark, folder)
+    rows = [df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name, df in files.load_tables(spark, folder).items()]
+    chain = ["d_nutrition_labs", "nutrition_lab_events", "omr_admit_antho", "mal_pt_data"]
+    rows += [spark.table(name).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name in chain]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def metrics_round_trip(spark, d):
+    folder = _new_folder(spark)
+    record = metrics.binary_metrics(_scored_lines(spark, d), "label", "prediction", "score")
+    files.write_metrics(record, folder)
+    return spark.read.schema(record.schema).json(folder)
+
+
+@query
+def params_round_trip(spark, d):
+    """Exported parameters of the best run, as the types that training reads them with."""
+    folder = _new_folder(spark)
+    files.write_params(runs.best_params(_runs(spark, d)), folder)
+    return spark.createDataFrame([(k, type(v).__name__) for k, v in files.read_params(spark, folder).items()], "name string, kind string")
+
+
+@query
+def run_log_round_trip(spark, d):
+    """Runs appended in two goes, a second experiment beside them; the finished ones of the first."""
+    folder = _new_folder(spark)
+    log = _runs(spark, d).withColumns({"ts": F.current_timestamp(), "tags": F.create_map().cast("map<string,string>")})
+    first = F.col("status") == "RUNNING"
+    for part, name in ((log.where(first), "trees"), (log.where(~first), "trees"), (log, "other")):
+        files.append_runs(part.withColumn("experiment", F.lit(name)), folder)
+    return runs.run_metrics(runs.finished_runs(files.read_runs(spark, folder, "trees")), ["f1_score", "recall"])
+
+
 # --- models (no SQL equivalent) ----------------------------------------------------------------------
 
 def _model_frame(spark, d):

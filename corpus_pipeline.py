@@ -16,7 +16,8 @@ from cohortica.operators.running import ensure_checkpoint_dir
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a language: NULL texts and texts without any letter."""
+    """Rejects texts without a language: NULL texts, texts without any letter, and those in which no language
+    wins all its duels."""
     return language.keep_identified(docs)
 
 
