@@ -2,7 +2,7 @@
 
 A k-mer is chosen when the smallest of its inner s-mers (by hash) is its first or its last one. The choice
 depends on the k-mer alone, not on what surrounds it, so a passage keeps its anchors wherever it stands,
-and anchors of two texts can be matched by position. A fingerprint keeps the smallest anchor in each of 64
+and anchors of two texts are matched by position. A fingerprint keeps the smallest anchor in each of 64
 slots; the share of equal slots estimates how many anchors two texts have in common.
 """
 
@@ -70,9 +70,8 @@ def anchors(text: str, k: int = K, s: int = S, block: int = 1 << 20) -> tuple[np
     return np.concatenate(places), np.concatenate(hashes)
 
 
-def sketch(text: str, k: int = K, s: int = S, slots: int = SLOTS) -> np.ndarray:
+def sketch(hashes: np.ndarray, slots: int = SLOTS) -> np.ndarray:
     """16 bits for each slot: those of the smallest anchor hash that falls into it; 0xFFFF if none does."""
-    _, hashes = anchors(text, k, s)
     best = np.full(slots, np.iinfo(np.uint64).max, np.uint64)
     np.minimum.at(best, (hashes % np.uint64(slots)).astype(np.int64), hashes)
     low = (best >> np.uint64(8)) & np.uint64(0xFFFF)
@@ -90,17 +89,20 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float(((a == b) & filled).sum() / filled.sum()) if filled.any() else 1.0
 
 
-def matched_span(a: str, b: str, k: int = K, s: int = S) -> tuple[int, int, int]:
-    """(offset, first, characters): the shift b - a on which most anchors of two texts agree, with the first place in
-    `a` and the length that those anchors cover; (0, 0, 0) if none agree."""
-    (pa_, ha), (pb, hb) = anchors(a, k, s), anchors(b, k, s)
-    _, ia, ib = np.intersect1d(ha, hb, return_indices=True)
+def matched_span(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], n_chars: int,
+                 k: int = K) -> tuple[int, int, int]:
+    """(offset, first, characters) of two texts' anchors: the shift b - a on which most of them agree (ties: the
+    smallest), with the first place in `a`, of n_chars characters, and the length that those anchors cover; (0, 0, 0) if
+    none agree. Of an anchor that a text repeats the first place counts."""
+    (at_a, hash_a), (at_b, hash_b) = a, b
+    _, ia, ib = np.intersect1d(hash_a, hash_b, return_indices=True)
     if not len(ia):
         return 0, 0, 0
-    shifts, counts = np.unique(pb[ib] - pa_[ia], return_counts=True)
+    moved = at_b[ib] - at_a[ia]
+    shifts, counts = np.unique(moved, return_counts=True)
     best = shifts[np.argmax(counts)]
-    own = pa_[ia][pb[ib] - pa_[ia] == best]
-    return int(best), int(own.min()), int(min(own.max() + k, len(a)) - own.min())
+    own = at_a[ia][moved == best]
+    return int(best), int(own.min()), int(min(own.max() + k, n_chars) - own.min())
 
 
 def edited(text: str, other: str) -> str:
@@ -172,41 +174,52 @@ def with_next(docs: DataFrame, doc_id: str, text: str, schema: str, each) -> Dat
 
     order = [F.col("bucket"), F.col("guest"), F.desc_nulls_last("doc_id"), F.col("text")]
     dealt = plain.mapInArrow(deal, "bucket long, guest int, doc_id long, text string")
-    spread = dealt.repartition(partitions(docs), "bucket").sortWithinPartitions(*order)
+    # one bucket a task: buckets are numbered from 0 (NULL) to at most len(bounds) + 1
+    spread = dealt.repartitionById(len(bounds) + 2, F.col("bucket").cast("int")).sortWithinPartitions(*order)
     return spread.mapInArrow(lambda batches: each(pairs(batches)), schema)
 
 
 FINGERPRINTS = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-                "near_edited double, near_next double")
+                "near_edited double, near_next double, kept_chars long, next_offset long, next_first long, next_chars long")
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K, s: int = S,
                  slots: int = SLOTS, rows: int = 1000) -> DataFrame:
     """Fingerprints of every text and of its edited text (see edited), and how near they and the next document's are.
 
+    kept_chars is the length of the span that the text shares with its edited text in one place; next_first and
+    next_chars are the span that it shares with the next document, next_offset characters further on there (see
+    matched_span); all are 0 where no anchor agrees. Very long texts are hashed in blocks; their anchors, about a
+    quarter of the characters, are held for three texts at a time.
+
     NULL counts as the empty text, whose slots are all empty. One row per row of `docs`; repeated rows and ids
     each have theirs. A single document is its own next one. An empty table gives no rows. Other columns are
     left alone.
     """
 
+    def measure(t: str) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+        found = anchors(t, k, s)
+        return found, sketch(found[1], slots)
+
     def each(documents: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        known: tuple[str | None, np.ndarray | None] = (None, None)  # the next document is measured once
+        known: tuple = (None, None, None)  # the next document is measured once
 
         def batch() -> pa.RecordBatch:
             columns = list(zip(*out))
-            kinds = [pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64()]
+            kinds = [pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64(), *[pa.int64()] * 4]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
                                               [f.split()[0] for f in FINGERPRINTS.split(", ")])
 
         for key, own, after in documents:
-            mine = known[1] if known[0] == own else sketch(own, k, s, slots)
-            other = sketch(after, k, s, slots)
+            places, mine = known[1:] if known[0] == own else measure(own)
+            next_places, other = measure(after)
             changed = edited(own, after)
-            new = sketch(changed, k, s, slots)
+            new_places, new = measure(changed)
             out.append((key, len(own), hashlib.sha256(changed.encode()).hexdigest(), as_text(mine), as_text(new),
-                        likeness(mine, new), likeness(mine, other)))
-            known = (after, other)
+                        likeness(mine, new), likeness(mine, other), matched_span(places, new_places, len(own), k)[2],
+                        *matched_span(places, next_places, len(own), k)))
+            known = (after, next_places, other)
             if len(out) == rows:
                 yield batch()
                 out.clear()
